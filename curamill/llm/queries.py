@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from curamill.llm import split, survivor
+from curamill.llm import leaks, mix, split, survivor
 from curamill.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,14 +62,50 @@ def p4_golden(spark: SparkSession, folder: str) -> DataFrame:
     return _fused(spark, folder).golden.drop("field_confidence")
 
 
+def _leaks(spark: SparkSession, folder: str) -> DataFrame:
+    return leaks.find_leaks(table(spark, folder, "documents"), table(spark, folder, "eval_items"))
+
+
+def p7_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents with the items they leak."""
+    return _leaks(spark, folder).select("doc_id", "item_id")
+
+
+def p7_items(spark: SparkSession, folder: str) -> DataFrame:
+    """How far each test item leaked."""
+    items = table(spark, folder, "eval_items").select("item_id", "task", "lang")
+    hits = _leaks(spark, folder).groupBy("item_id").agg(F.count(F.lit(1)).alias("n_documents"), F.max("n_words").alias("longest_run"))
+    return items.join(hits, "item_id", "left").na.fill(0, ["n_documents", "longest_run"])
+
+
+def _mixture(spark: SparkSession, folder: str) -> mix.Mixture:
+    return mix.mix(table(spark, folder, "documents"), table(spark, folder, "mix_targets"))
+
+
+def p8_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Sources too small for their share."""
+    return _mixture(spark, folder).report.filter("short").select("source")
+
+
+def p8_report(spark: SparkSession, folder: str) -> DataFrame:
+    """Target and reached share of each source."""
+    return _mixture(spark, folder).report
+
+
+def p8_drawn(spark: SparkSession, folder: str) -> DataFrame:
+    """The texts drawn, with their number of copies."""
+    return _mixture(spark, folder).drawn
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p1_found, p1_pieces, p4_found, p4_golden)}
+    return {f.__name__: f for f in (p1_found, p1_pieces, p4_found, p4_golden, p7_found, p7_items, p8_found, p8_report, p8_drawn)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "p1_found": "SELECT DISTINCT chunk_id FROM chunks WHERE length(text) // 4 > 1000",
         "p4_found": _P4,
+        "p7_found": _P7,
     }
 
 
@@ -86,3 +122,11 @@ m AS (SELECT file, count(*) AS n, max(coalesce(composite_score, -1)) AS s, max(a
 SELECT min(report_id) AS report_id FROM d JOIN m USING (file)
 WHERE n > 1 AND coalesce(composite_score, -1) = s AND assessed_at = a AND filled = f GROUP BY file
 """
+
+_P7 = r"""
+WITH d AS (SELECT DISTINCT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents),
+i AS (SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM eval_items),
+dg AS (SELECT doc_id, array_to_string(w[p:p+11], ' ') AS g FROM d, range(1, greatest(len(w) - 10, 1)) t(p) WHERE len(w) >= 12),
+ig AS (SELECT DISTINCT item_id, array_to_string(w[p:p+11], ' ') AS g FROM i, range(1, greatest(len(w) - 10, 1)) t(p) WHERE len(w) >= 12)
+SELECT DISTINCT doc_id, item_id FROM dg JOIN ig USING (g)
+"""
