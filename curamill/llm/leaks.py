@@ -2,19 +2,15 @@
 
 from __future__ import annotations
 
-import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import regex
-import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-_WORD = regex.compile(r"[\p{L}\p{N}]+")
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_MIX = np.uint64(0xD6E8FEB86659FD93)
+from curamill.llm.words import WordHasher, gram_hashes, words
+
 _SCHEMA = "doc bigint, item bigint, n_words int, doc_word int, item_word int"
 
 
@@ -33,43 +29,13 @@ class Winnow:
             raise ValueError("k must lie between 1 and min_words")
 
 
-def words(text: str) -> list[str]:
-    """Runs of letters or digits, case aside."""
-    if not text.isascii():
-        text = unicodedata.normalize("NFC", text)
-    return _WORD.findall(text.lower())
-
-
-class _Hasher:
-    """64-bit hashes of words; remembers frequent ones."""
-
-    def __init__(self, most: int = 200_000):
-        self.known: dict[str, int] = {}
-        self.most = most
-
-    def __call__(self, run: list[str]) -> np.ndarray:
-        if len(self.known) > self.most:
-            self.known.clear()
-        known = self.known
-        for w in set(run):
-            if w not in known:
-                known[w] = xxhash.xxh3_64_intdigest(w)
-        return np.fromiter(map(known.__getitem__, run), dtype=np.uint64, count=len(run))
-
-
 def fingerprints(hashes: np.ndarray, options: Winnow) -> tuple[np.ndarray, np.ndarray]:
     """(position, hash) of the fingerprints of a text given as word hashes."""
     k, window = options.k, options.min_words - options.k + 1
-    n = len(hashes) - k + 1
+    grams = gram_hashes(hashes, k)
+    n = len(grams)
     if n < window:
         return np.empty(0, np.int64), np.empty(0, np.uint64)
-    grams = np.zeros(n, np.uint64)
-    with np.errstate(over="ignore"):
-        for j in range(k):
-            grams = grams * _BASE + hashes[j : j + n]
-        grams ^= grams >> np.uint64(32)
-        grams *= _MIX
-        grams ^= grams >> np.uint64(29)
     least = np.lib.stride_tricks.sliding_window_view(grams, window).argmin(axis=1) + np.arange(n - window + 1)
     at = np.unique(least)
     return at, grams[at]
@@ -97,7 +63,7 @@ def longest_runs(doc: list[str], hits: list[tuple[int, int, int]], items: dict[i
 
 
 def _index(rows: list[tuple[int, str]], options: Winnow) -> tuple[np.ndarray, list[list[tuple[int, int]]], dict[int, list[str]]]:
-    hasher, items, by_hash = _Hasher(), {}, {}
+    hasher, items, by_hash = WordHasher(), {}, {}
     for item, text in rows:
         run = words(text)
         if len(run) < options.min_words:
@@ -119,7 +85,7 @@ def _by_broadcast(documents: DataFrame, items: DataFrame, options: Winnow) -> Da
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, places, runs = _index(shared.value, options)
-        hasher = _Hasher()
+        hasher = WordHasher()
         for batch in batches:
             found = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -140,7 +106,7 @@ def _by_broadcast(documents: DataFrame, items: DataFrame, options: Winnow) -> Da
 
 def _marks(df: DataFrame, options: Winnow, names: tuple[str, str]) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = _Hasher()
+        hasher = WordHasher()
         for batch in batches:
             ids, at_all, marks_all = [], [], []
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -161,7 +127,7 @@ def _by_shuffle(documents: DataFrame, items: DataFrame, options: Winnow) -> Data
     both = pairs.join(items.select("item", F.col("text").alias("item_text")), "item").join(documents, "doc")
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = _Hasher()
+        hasher = WordHasher()
         for batch in batches:
             found = []
             for doc, item, item_text, text in zip(*(batch.column(n).to_pylist() for n in ("doc", "item", "item_text", "text"))):

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from curamill.llm import leaks, mix, split, survivor
+from curamill.llm import leaks, mix, near, split, survivor
 from curamill.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +62,24 @@ def p4_golden(spark: SparkSession, folder: str) -> DataFrame:
     return _fused(spark, folder).golden.drop("field_confidence")
 
 
+#: TESTDATA.md sets three words and 0.6 for this problem.
+NEAR = near.Sketching(shingle=3, threshold=0.6)
+
+
+def _near(spark: SparkSession, folder: str) -> near.NearDuplicates:
+    return near.near_duplicates(table(spark, folder, "deduplicated"), "filename", options=NEAR)
+
+
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Pairs of files that repeat each other with small changes."""
+    return near.expand(_near(spark, folder)).select(F.col("a").alias("filename_a"), F.col("b").alias("filename_b"))
+
+
+def p6_groups(spark: SparkSession, folder: str) -> DataFrame:
+    """Every file with its class of equal texts, its links and its group."""
+    return _near(spark, folder).groups().withColumnRenamed("id", "filename")
+
+
 def _leaks(spark: SparkSession, folder: str) -> DataFrame:
     return leaks.find_leaks(table(spark, folder, "documents"), table(spark, folder, "eval_items"))
 
@@ -98,13 +116,14 @@ def p8_drawn(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p1_found, p1_pieces, p4_found, p4_golden, p7_found, p7_items, p8_found, p8_report, p8_drawn)}
+    return {f.__name__: f for f in (p1_found, p1_pieces, p4_found, p4_golden, p6_found, p6_groups, p7_found, p7_items, p8_found, p8_report, p8_drawn)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "p1_found": "SELECT DISTINCT chunk_id FROM chunks WHERE length(text) // 4 > 1000",
         "p4_found": _P4,
+        "p6_found": _P6,
         "p7_found": _P7,
     }
 
@@ -130,3 +149,12 @@ dg AS (SELECT doc_id, array_to_string(w[p:p+11], ' ') AS g FROM d, range(1, grea
 ig AS (SELECT DISTINCT item_id, array_to_string(w[p:p+11], ' ') AS g FROM i, range(1, greatest(len(w) - 10, 1)) t(p) WHERE len(w) >= 12)
 SELECT DISTINCT doc_id, item_id FROM dg JOIN ig USING (g)
 """
+
+_P6 = r"""
+WITH d AS (SELECT DISTINCT filename, text FROM deduplicated WHERE text IS NOT NULL),
+w AS (SELECT filename, text, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM d),
+s AS (SELECT DISTINCT filename, array_to_string(w[p:p+2], ' ') AS g FROM w, range(1, greatest(len(w) - 1, 1)) t(p) WHERE len(w) >= 3),
+n AS (SELECT filename, count(*) AS n FROM s GROUP BY filename),
+c AS (SELECT a.filename AS filename_a, b.filename AS filename_b, count(*) AS nb FROM s a JOIN s b ON a.g = b.g AND a.filename < b.filename GROUP BY ALL)
+SELECT filename_a, filename_b FROM c JOIN n x ON x.filename = filename_a JOIN n y ON y.filename = filename_b WHERE nb >= 0.6 * (x.n + y.n - nb)
+"""
