@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from curamill.llm import leaks, mix, near, split, survivor
+from curamill.llm import encoding, leaks, mix, near, split, survivor
 from curamill.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +62,23 @@ def p4_golden(spark: SparkSession, folder: str) -> DataFrame:
     return _fused(spark, folder).golden.drop("field_confidence")
 
 
+def _repaired(spark: SparkSession, folder: str) -> DataFrame:
+    return encoding.repair_encoding(table(spark, folder, "processed").select("filename", "text"))
+
+
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Files whose text was read with a wrong encoding."""
+    return _repaired(spark, folder).filter("garbled").select("filename").distinct()
+
+
+def p5_restored(spark: SparkSession, folder: str) -> DataFrame:
+    """The garbled files with their text as it was, and how much cleaning really removed."""
+    found = _repaired(spark, folder).filter("garbled").select("filename", "encoding_chain", "restoration", "garbled_lines", "restored_text", F.length("restored_text").alias("restored_length"))
+    cleaned = table(spark, folder, "cleaned").select("source_file", "cleaned_length").groupBy("source_file").agg(F.max("cleaned_length").alias("cleaned_length"))
+    stem = F.regexp_replace("filename", r"\.[^.]*$", "_processed.txt")
+    return found.withColumn("source_file", stem).join(cleaned, "source_file", "left").withColumn("true_chars_removed", F.col("restored_length") - F.col("cleaned_length")).drop("cleaned_length")
+
+
 #: TESTDATA.md sets three words and 0.6 for this problem.
 NEAR = near.Sketching(shingle=3, threshold=0.6)
 
@@ -116,7 +133,7 @@ def p8_drawn(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p1_found, p1_pieces, p4_found, p4_golden, p6_found, p6_groups, p7_found, p7_items, p8_found, p8_report, p8_drawn)}
+    return {f.__name__: f for f in (p1_found, p1_pieces, p4_found, p4_golden, p5_found, p5_restored, p6_found, p6_groups, p7_found, p7_items, p8_found, p8_report, p8_drawn)}
 
 
 def oracle_sql() -> dict[str, str]:
