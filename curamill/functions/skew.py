@@ -5,18 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 
-def join_unique(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left", share: int = 1000) -> DataFrame:
+def join_unique(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left", share: int = 1000, sizes: str | None = None) -> DataFrame:
     """``left`` joined to ``right``, whose ``keys`` are unique, without one task per hot key.
 
     A key is hot when it holds at least 1/``share`` of the left rows, so at most ``share`` keys are hot, whatever the
     input's size: their right rows are broadcast (at most ``share`` rows). All other rows take an ordinary join in
-    which no key is hot. Null keys match nothing; with ``how='left'`` they stay with nulls, with ``'inner'`` they go.
+    which no key is hot. ``sizes`` names a column of ``right`` that already holds the number of left rows of a key;
+    otherwise they are counted. Null keys match nothing; with ``how='left'`` they stay with nulls, with ``'inner'``
+    they go.
     """
-    present = left
-    for k in keys:
-        present = present.filter(F.col(k).isNotNull())
-    counts = present.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    total = present.agg(F.count(F.lit(1)).alias("__total"))
+    if sizes:
+        counts = right.select(*keys, F.col(sizes).alias("__n"))
+    else:
+        present = left
+        for k in keys:
+            present = present.filter(F.col(k).isNotNull())
+        counts = present.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    total = counts.agg(F.sum("__n").alias("__total"))
     hot = (
         counts.crossJoin(F.broadcast(total))  # one row
         .filter((F.col("__n") * share >= F.col("__total")) & (F.col("__n") > 1000))
