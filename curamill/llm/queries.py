@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from curamill.llm import encoding, leaks, mix, near, split, survivor
+from curamill.llm import encoding, leaks, mix, near, quality, split, survivor
 from curamill.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,20 @@ def p1_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return split.split_oversized(chunks).drop("text")
 
 
+def _quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.score_quality(table(spark, folder, "enriched").select("chunk_id", "text"))
+
+
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Enriched chunks that are lists, tables or junk."""
+    return _quality(spark, folder).filter("NOT is_prose").select("chunk_id").distinct()
+
+
+def p2_statistics(spark: SparkSession, folder: str) -> DataFrame:
+    """True figures for every enriched chunk."""
+    return _quality(spark, folder)
+
+
 #: Columns of a quality record that are voted on.
 REPORT_FIELDS = ["composite_score", "category", "passes_threshold", "readability", "coherence", "information_density", "completeness", "linguistic_quality", "weakest_metric", "output_path"]
 
@@ -133,7 +147,7 @@ def p8_drawn(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p1_found, p1_pieces, p4_found, p4_golden, p5_found, p5_restored, p6_found, p6_groups, p7_found, p7_items, p8_found, p8_report, p8_drawn)}
+    return {f.__name__: f for f in (p1_found, p1_pieces, p2_found, p2_statistics, p4_found, p4_golden, p5_found, p5_restored, p6_found, p6_groups, p7_found, p7_items, p8_found, p8_report, p8_drawn)}
 
 
 def oracle_sql() -> dict[str, str]:
