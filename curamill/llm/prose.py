@@ -84,9 +84,9 @@ def _reads_like_sentence(span: str, words: list[str], ended: bool) -> bool:
     if not ended or n < 3 or letters < 0.6 * solid or numbers > 0.4 * n:
         return False
     breaks = span.count("\n")
-    if breaks > 1 and n < 3 * (breaks + 1):
+    if breaks > 1 and n < 3 * (breaks + 1) and letters < 20 * (breaks + 1):
         return False
-    return sum(w.lower() in ANY_COMMON for w in words) >= max(1, 0.12 * n)
+    return sum(w.lower() in ANY_COMMON for w in words) >= max(1, 0.08 * n)
 
 
 def analyse(text: str) -> Analysis:

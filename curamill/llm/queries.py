@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from curamill.llm import encoding, leaks, mix, near, quality, split, survivor
+from curamill.llm import encoding, leaks, level, mix, near, quality, split, survivor
 from curamill.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,20 @@ def p2_statistics(spark: SparkSession, folder: str) -> DataFrame:
     return _quality(spark, folder)
 
 
+def _graded(spark: SparkSession, folder: str) -> DataFrame:
+    return level.grade_texts(table(spark, folder, "cleaned").select("output_file", "text"))
+
+
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Files of prose on university level."""
+    return _graded(spark, folder).filter("is_prose AND level = 4").select("output_file").distinct()
+
+
+def p3_levels(spark: SparkSession, folder: str) -> DataFrame:
+    """A level for every file."""
+    return _graded(spark, folder).drop("text")
+
+
 #: Columns of a quality record that are voted on.
 REPORT_FIELDS = ["composite_score", "category", "passes_threshold", "readability", "coherence", "information_density", "completeness", "linguistic_quality", "weakest_metric", "output_path"]
 
@@ -147,7 +161,7 @@ def p8_drawn(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p1_found, p1_pieces, p2_found, p2_statistics, p4_found, p4_golden, p5_found, p5_restored, p6_found, p6_groups, p7_found, p7_items, p8_found, p8_report, p8_drawn)}
+    return {f.__name__: f for f in (p1_found, p1_pieces, p2_found, p2_statistics, p3_found, p3_levels, p4_found, p4_golden, p5_found, p5_restored, p6_found, p6_groups, p7_found, p7_items, p8_found, p8_report, p8_drawn)}
 
 
 def oracle_sql() -> dict[str, str]:
