@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from curamill.llm import encoding, leaks, level, mix, near, quality, split, survivor
+from curamill.llm import encoding, leaks, level, mix, near, quality, sentences, split, survivor
 from curamill.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -160,8 +160,23 @@ def p8_drawn(spark: SparkSession, folder: str) -> DataFrame:
     return _mixture(spark, folder).drawn
 
 
+def _sentences(spark: SparkSession, folder: str) -> DataFrame:
+    prose = table(spark, folder, "documents").filter("layout = 'prose'").select("doc_id", "text")
+    return sentences.split_sentences(prose)
+
+
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Where each sentence of the prose documents begins."""
+    return _sentences(spark, folder).select("doc_id", "start_pos").distinct()
+
+
+def p9_sentences(spark: SparkSession, folder: str) -> DataFrame:
+    """The sentences of the prose documents."""
+    return _sentences(spark, folder)
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p1_found, p1_pieces, p2_found, p2_statistics, p3_found, p3_levels, p4_found, p4_golden, p5_found, p5_restored, p6_found, p6_groups, p7_found, p7_items, p8_found, p8_report, p8_drawn)}
+    return {f.__name__: f for f in (p1_found, p1_pieces, p2_found, p2_statistics, p3_found, p3_levels, p4_found, p4_golden, p5_found, p5_restored, p6_found, p6_groups, p7_found, p7_items, p8_found, p8_report, p8_drawn, p9_found, p9_sentences)}
 
 
 def oracle_sql() -> dict[str, str]:
