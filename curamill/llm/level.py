@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from curamill.functions.columns import make_room
 from curamill.llm.graded import GRADED
-from curamill.llm.prose import COMMON, WORD, Analysis, analyse, language_of
+from curamill.llm.prose import COMMON, Analysis, analyse, find_words, language_of
 from curamill.session import settle
 
 LANGUAGES = tuple(COMMON)
@@ -143,7 +143,7 @@ def word_rarity(df: DataFrame, text: str, options: Grading) -> dict[str, tuple[d
 
         for batch in batches:
             for value in batch.column(0).to_pylist():
-                words = WORD.findall(value.lower())
+                words = find_words(value.lower())
                 language = language_of(value, words)
                 if language in held:
                     held[language].update(words)

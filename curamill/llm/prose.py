@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 import regex
@@ -22,10 +23,13 @@ ANY_COMMON = frozenset(_OF)
 #: Grammatical words that mark a Chinese or Japanese line without a final mark as a sentence.
 _CJK_GRAMMAR = regex.compile("[了在是把请吗这着过]|非常|已经|一共|没有|です|ます|ました|でした|ません|でしょう|ください")
 WORD = regex.compile(r"[\p{L}\p{M}\p{N}]+")
-_END = regex.compile(r"[.!?…]+[\"'”’»)\]]*(?=\s|$)|[。！？।｡]+[」』”’）｣\"]*")
-_BLOCK = regex.compile(r"\n[^\S\n]*\n")
+_PLAIN_WORD = re.compile(r"[^\W_]+")
+_MARKS = re.compile("[\u0300-\u036f\u0483-\u0489\u0591-\u05bd\u0610-\u061a\u064b-\u065f\u0900-\u0dff\u0e00-\u0eff\u0f00-\u109f\u1700-\u17ff\u1ab0-\u1cff\u1dc0-\u1dff\u20d0-\u20ff\u3099\u309a\ua66f-\uabff\ufe00-\ufe2f\U00010000-\U0010ffff]")
+_END = re.compile(r"[.!?…]+[\"'”’»)\]]*(?=\s|$)|[。！？।｡]+[」』”’）｣\"]*")
+_BLOCK = re.compile(r"\n[^\S\n]*\n")
 _KANA, _HAN, _THAI, _DEVA, _CYRL, _HANG = (regex.compile(rf"\p{{{s}}}") for s in ("Hiragana", "Han", "Thai", "Devanagari", "Cyrillic", "Hangul"))
 _LATIN = regex.compile(r"\p{Latin}")
+_FOREIGN = re.compile("[\u0400-\u052f\u0900-\u097f\u0e00-\u0e7f\u1100-\u11ff\u3040-\u30ff\u3130-\u318f\u3400-\u9fff\uac00-\ud7af\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff]")
 _CJK, _OTHER = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}]"), regex.compile(r"[\p{Devanagari}\p{Cyrillic}\p{Hangul}]")
 _LIST_MARK = regex.compile(r"^[^\S\n]*(?:[-*•◦▪▫–|]|\d+[.)]\s)", regex.M)
 _SYMBOL = regex.compile(r"[^\p{L}\p{M}\p{N}\s]")
@@ -49,9 +53,14 @@ class Analysis:
         return self.sentence_words / len(self.words) if self.words else 0.0
 
 
+def find_words(text: str) -> list[str]:
+    """Runs of letters, their marks and digits, as written."""
+    return WORD.findall(text) if not text.isascii() and _MARKS.search(text) else _PLAIN_WORD.findall(text)
+
+
 def language_of(text: str, words: list[str]) -> str:
     """en, fr, de, es by common words; ja, zh, th, hi, ru, ko by script; und otherwise."""
-    if not text.isascii():
+    if not text.isascii() and _FOREIGN.search(text):
         counts = {"ja": 3 * len(_KANA.findall(text)), "zh": len(_HAN.findall(text)), "th": len(_THAI.findall(text)), "hi": len(_DEVA.findall(text)), "ru": len(_CYRL.findall(text)), "ko": len(_HANG.findall(text))}
         best = max(counts, key=counts.get)
         if counts[best] * 2 > sum(1 for _ in _LATIN.finditer(text)):
@@ -74,9 +83,10 @@ def _reads_like_sentence(span: str, words: list[str], ended: bool) -> bool:
         return False
     solid = len(span) - span.count(" ") - span.count("\n")
     if not span.isascii():
-        if _CJK.search(span):
+        foreign = _FOREIGN.search(span) is not None
+        if foreign and _CJK.search(span):
             return letters >= 0.35 * solid and (ended or (letters >= 5 and not _LIST_MARK.search(span) and _CJK_GRAMMAR.search(span) is not None))
-        if letters >= 0.6 * solid:
+        if foreign and letters >= 0.6 * solid:
             if _THAI.search(span):
                 return letters >= 12
             if _OTHER.search(span):
@@ -109,21 +119,21 @@ def analyse(text: str) -> Analysis:
             at = stop
             if not span:
                 continue
-            words = WORD.findall(span)
+            words = find_words(span)
             every += words
             ended = stop is not None
             if not words:
                 continue
             if "\n" in span:
-                if not span.isascii() and _CJK.search(span) and (not ended or _CJK_GRAMMAR.search(span)):
+                if not span.isascii() and _FOREIGN.search(span) and _CJK.search(span) and (not ended or _CJK_GRAMMAR.search(span)):
                     *lines, last = span.split("\n")
                     for line in lines:
-                        take(line.strip(), WORD.findall(line), False)
-                    take(last, WORD.findall(last), ended)
+                        take(line.strip(), find_words(line), False)
+                    take(last, find_words(last), ended)
                     continue
                 if ended and _LIST_MARK.search(span):
                     span = span.rpartition("\n")[2]
-                    words = WORD.findall(span)
+                    words = find_words(span)
             take(span, words, ended)
     return Analysis(language_of(text, [w.lower() for w in every]), every, sentences, spans)
 

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 import numpy as np
-import regex
 import xxhash
 
-_WORD = regex.compile(r"[\p{L}\p{N}]+")
+_WORD = re.compile(r"[^\W_]+")
 _BASE, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
