@@ -93,7 +93,11 @@ def language(x: str | Column) -> Column:
     in that order wins."""
     c = _c(x)
     w = F.filter(F.split(F.lower(c), r"[^\p{L}]+"), lambda v: v != "")
-    votes = [F.struct(F.size(F.filter(w, lambda v, ws=ws: v.isin(ws))).alias("n"), F.lit(-i).alias("o"), F.lit(lang).alias("lang")) for i, (lang, ws) in enumerate(L.LANGUAGE_WORDS.items())]
+
+    def hits(listed: list[str]) -> Column:
+        return F.size(F.filter(w, lambda v: v.isin(listed)))
+
+    votes = [F.struct(hits(ws).alias("n"), F.lit(-i).alias("o"), F.lit(lang).alias("lang")) for i, (lang, ws) in enumerate(L.LANGUAGE_WORDS.items())]
     best = F.array_max(F.array(*votes))
     kana, han = F.length(c) - F.length(F.regexp_replace(c, r"[\x{3040}-\x{30ff}]", "")), F.length(c) - F.length(F.regexp_replace(c, r"[\x{4e00}-\x{9fff}]", ""))
     return F.when(c.isNull(), None).when((kana + han) * 4 > F.length(c), F.when(kana * 5 > han, "ja").otherwise("zh")).when(best["n"] > 0, best["lang"]).otherwise("unknown")

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from html.parser import HTMLParser
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from curamill.functions import lexicons as L, text as X
 from curamill.functions.columns import make_room
@@ -65,22 +65,22 @@ def repair(value: str) -> str:
     return value.replace("\r\n", "\n").replace("\r", "\n")
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(T.StringType())
 def repaired(texts: pa.Array) -> pa.Array:
     return pa.array([None if t is None else repair(t) for t in texts.to_pylist()], pa.string())
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(T.StringType())
 def html_text(texts: pa.Array) -> pa.Array:
     return pa.array([None if t is None else html_to_text(t) for t in texts.to_pylist()], pa.string())
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(T.StringType())
 def nfkc(texts: pa.Array) -> pa.Array:
     return pa.array([None if t is None else t if t.isascii() else unicodedata.normalize("NFKC", t) for t in texts.to_pylist()], pa.string())
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(T.StringType())
 def _prepared(texts: pa.Array) -> pa.Array:
     """Repair, markup and NFKC in one visit to Python."""
     out = []
