@@ -11,7 +11,7 @@ TRANSITIONS = "however therefore furthermore moreover additionally consequently
 TRANSITION_PHRASES = ["in addition", "for example", "for instance", "in contrast"]
 CONCLUSIONS = ["conclusion", "summary", "to conclude", "finally", "to sum up", "overall"]
 # Signs of a cut text, as one pattern on lower-cased text.
-TRUNCATION = r"\.\.\.$|\bcontinued\b|see next page|to be continued|\[truncated\]|\(cont\)"
+TRUNCATION = r"\.\.\.\s*\z|\bcontinued\b|see next page|to be continued|\[truncated\]|\(cont\)"
 
 TOPICS = {
     "technology": "software hardware computer digital technology algorithm data system programming code".split(),
@@ -41,7 +41,6 @@ LANGUAGE_WORDS = {
 
 # Blanks that Python's str.strip removes, as one character class both regex engines read alike.
 BLANK = r"[\t\n\x{0b}\x{0c}\r\x{1c}-\x{1f} \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
-PAGE_LINE = r"(?i)(^|\n)[ \t]*(?:page[ \t]*)?[0-9]+[ \t]*(?:of[ \t]*[0-9]+)?[ \t]*(\n|$)"
 URL = r"https?://(?:[a-zA-Z]|[0-9]|[$-_@.&+]|[!*\\(),]|(?:%[0-9a-fA-F][0-9a-fA-F]))+"
 EMAIL = r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}\b"
 CONTROL = r"[\x{00}-\x{08}\x{0b}\x{0c}\x{0e}-\x{1f}\x{7f}-\x{9f}]"

@@ -112,7 +112,7 @@ def mask_emails(x: Column) -> Column:
 
 def drop_page_lines(x: Column) -> Column:
     """Without lines holding just a page number; form feeds become line breaks."""
-    lines = F.filter(F.split(x, "\n", -1), lambda v: ~v.rlike(r"(?i)^[ \t]*(?:page[ \t]*)?[0-9]+[ \t]*(?:of[ \t]*[0-9]+)?[ \t]*$"))
+    lines = F.filter(F.split(x, "\n", -1), lambda v: ~v.rlike(r"(?i)^[ \t]*(?:page[ \t]*)?[0-9]+[ \t]*(?:of[ \t]*[0-9]+)?[ \t]*\z"))
     return F.regexp_replace(F.array_join(lines, "\n"), r"\x{0c}", "\n")
 
 
