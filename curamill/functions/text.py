@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 from curamill.functions import lexicons as L
@@ -62,15 +64,26 @@ def content_hash(x: str | Column) -> Column:
     return F.md5(comparable(x))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, even where a lambda inside uses it for every element."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def windows(items: Column, k: int, joined: str) -> Column:
+    """Distinct runs of ``k`` neighbouring strings; empty for shorter arrays, null for null."""
+    empty = F.array().cast("array<string>")
+    run = lambda a: F.transform(F.sequence(F.lit(1), F.size(a) - k + 1), lambda i: F.concat_ws(joined, *[F.element_at(a, i + j) for j in range(k)]))
+    return F.when(items.isNotNull(), let(items, lambda a: F.when(F.size(a) >= k, F.array_distinct(run(a))).otherwise(empty)))
+
+
 def char_shingles(x: Column, k: int = 3) -> Column:
     """Distinct runs of ``k`` characters; empty for shorter texts."""
-    return F.when(F.length(x) >= k, F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(x) - k + 1), lambda i: x.substr(i, F.lit(k))))).otherwise(F.array().cast("array<string>"))
+    return windows(F.filter(F.split(x, ""), lambda v: v != ""), k, "")
 
 
 def word_shingles(x: Column, k: int = 5) -> Column:
     """Distinct runs of ``k`` words of a comparable text; empty for shorter ones."""
-    w = F.filter(F.split(x, " +"), lambda v: v != "")
-    return F.when(F.size(w) >= k, F.array_distinct(F.transform(F.sequence(F.lit(1), F.size(w) - k + 1), lambda i: F.concat_ws(" ", F.slice(w, i, k))))).otherwise(F.array().cast("array<string>"))
+    return windows(F.filter(F.split(x, " +"), lambda v: v != ""), k, " ")
 
 
 def jaccard(a: Column, b: Column) -> Column:
@@ -92,12 +105,14 @@ def language(x: str | Column) -> Column:
     """en, fr, de or es by its function words, ja or zh by script, ``unknown`` otherwise. Of equal counts the first
     in that order wins."""
     c = _c(x)
-    w = F.filter(F.split(F.lower(c), r"[^\p{L}]+"), lambda v: v != "")
+    langs = list(L.LANGUAGE_WORDS)
+
+    def add(counts: Column, v: Column) -> Column:
+        return F.struct(*[(counts[k] + v.isin(L.LANGUAGE_WORDS[k]).cast("int")).alias(k) for k in langs])
 
-    def hits(listed: list[str]) -> Column:
-        return F.size(F.filter(w, lambda v: v.isin(listed)))
+    def pick(counts: Column) -> Column:
+        return F.array_max(F.array(*[F.struct(counts[k].alias("n"), F.lit(-i).alias("o"), F.lit(k).alias("lang")) for i, k in enumerate(langs)]))
 
-    votes = [F.struct(hits(ws).alias("n"), F.lit(-i).alias("o"), F.lit(lang).alias("lang")) for i, (lang, ws) in enumerate(L.LANGUAGE_WORDS.items())]
-    best = F.array_max(F.array(*votes))
+    best = F.aggregate(F.split(F.lower(c), r"[^\p{L}]+"), F.struct(*[F.lit(0).alias(k) for k in langs]), add, pick)
     kana, han = F.length(c) - F.length(F.regexp_replace(c, r"[\x{3040}-\x{30ff}]", "")), F.length(c) - F.length(F.regexp_replace(c, r"[\x{4e00}-\x{9fff}]", ""))
     return F.when(c.isNull(), None).when((kana + han) * 4 > F.length(c), F.when(kana * 5 > han, "ja").otherwise("zh")).when(best["n"] > 0, best["lang"]).otherwise("unknown")

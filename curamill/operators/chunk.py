@@ -83,10 +83,13 @@ def pieces(x: str | Column, options: Chunking = Chunking()) -> Column:
     """The chunks of a text as an array; ``token`` windows over words and marks stay in the JVM."""
     c = F.col(x) if isinstance(x, str) else x
     if options.strategy == "token":
-        t = F.regexp_extract_all(c, F.lit(r"\s*(?:[\p{L}\p{N}]+|[^\p{L}\p{N}\s])"), F.lit(0))
-        step, n = options.size - options.overlap, F.size(t)
-        starts = F.when(n > 0, F.sequence(F.lit(0), F.greatest(n - options.overlap - 1, F.lit(0)), F.lit(step))).otherwise(F.array().cast("array<int>"))
-        return F.transform(starts, lambda i: X.strip(F.array_join(F.slice(t, i + 1, options.size), "")))
+        step = options.size - options.overlap
+
+        def cut_tokens(t: Column) -> Column:
+            starts = F.sequence(F.lit(0), F.greatest(F.size(t) - options.overlap - 1, F.lit(0)), F.lit(step))
+            return F.when(F.size(t) > 0, F.transform(starts, lambda i: X.strip(F.array_join(F.slice(t, i + 1, options.size), ""))))
+
+        return X.let(F.regexp_extract_all(c, F.lit(r"\s*(?:[\p{L}\p{N}]+|[^\p{L}\p{N}\s])"), F.lit(0)), cut_tokens)
     if options.strategy == "semantic":
         size, overlap = options.size * options.chars_per_token, options.overlap * options.chars_per_token
 

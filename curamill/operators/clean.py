@@ -117,7 +117,7 @@ def drop_page_lines(x: Column) -> Column:
 
 
 def join_hyphens(x: Column) -> Column:
-    return F.regexp_replace(x, r"([\p{L}\p{N}_]+)-[ \t]*\n\s*([\p{L}\p{N}_]+)", "$1$2")
+    return F.regexp_replace(x, r"(?<=[\p{L}\p{N}_])-[ \t]*\n\s*(?=[\p{L}\p{N}_])", "")
 
 
 def bullets(x: Column) -> Column:
@@ -131,7 +131,7 @@ def numbered(x: Column) -> Column:
 
 def punctuation(x: Column, compat: bool = False) -> Column:
     if compat:
-        return F.regexp_replace(F.regexp_replace(x, r"[.!?]{2,}", r"\\\\1"), r"[.,!?;:][a-zA-Z]", r"\\\\1 \\\\2")
+        return F.regexp_replace(F.regexp_replace(x, r"[.!?]{2,}", r"\\1"), r"[.,!?;:][a-zA-Z]", r"\\1 \\2")
     once = F.regexp_replace(x, r"([.!?])[.!?]+", "$1")
     closed = F.regexp_replace(once, r"\s+([.,!?;:])", "$1")
     return F.regexp_replace(closed, r"([.,!?;:])([a-zA-Z])", "$1 $2")
@@ -139,9 +139,7 @@ def punctuation(x: Column, compat: bool = False) -> Column:
 
 def drop_repeated_lines(x: Column) -> Column:
     """Without a line equal to the one right before it; blank lines stay."""
-    lines = F.split(x, "\n", -1)
-    kept = F.filter(lines, lambda v, i: (i == 0) | (X.strip(v) == "") | (v != F.element_at(lines, F.greatest(i, F.lit(1)))))
-    return F.array_join(kept, "\n")
+    return F.regexp_replace(x, rf"(^|\n)(?=[^\n]*{L.SOLID})([^\n]*+)(?:\n\2(?=\n|\z))+", "$1$2")
 
 
 def whitespace(x: Column) -> Column:
@@ -174,13 +172,11 @@ def clean(df: DataFrame, text: str = "text", options: Cleaning = Cleaning()) ->
     step = step.withColumn("extracted_urls", urls(p)).withColumn("__u", p if options.keep_urls else mask_urls(p))
     u = F.col("__u")
     step = step.withColumn("extracted_emails", emails(u)).withColumn("__e", u if options.keep_emails else mask_emails(u))
-    c = drop_page_lines(F.col("__e"))
-    if not options.compat:
-        c = numbered(bullets(join_hyphens(c)))
-    else:
-        c = bullets(c)
-    c = whitespace(drop_repeated_lines(punctuation(c, options.compat)))
-    step = step.withColumn("cleaned_text", c).drop("__p", "__u", "__e")
+    steps = [drop_page_lines, *([] if options.compat else [join_hyphens]), bullets, *([] if options.compat else [numbered]), lambda c: punctuation(c, options.compat), drop_repeated_lines, whitespace]
+    step = step.withColumn("cleaned_text", F.col("__e"))
+    for one in steps:
+        step = step.withColumn("cleaned_text", one(F.col("cleaned_text")))
+    step = step.drop("__p", "__u", "__e")
     return step.select("*", X.language("cleaned_text").alias("detected_language"), *metrics(F.col(text), F.col("cleaned_text")), F.when(F.col(text).isNull(), "failed").otherwise("success").alias("status"))
 
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from curamill.functions.skew import join_unique
 from curamill.session import settle
 
 
@@ -14,19 +13,29 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
     Labels spread along the edges and then jump to their label's label, so the rounds grow with the logarithm of a
     component's diameter rather than with the diameter. Each round is written to shared storage; only a count of
     changed labels reaches the driver. Null ends and loops are ignored, repeated edges are harmless, an empty table gives
-    an empty result. A node may have any number of edges: labels are combined map-side and hot nodes are broadcast.
+    an empty result. A node may have any number of edges: labels are combined map-side and the labels of hubs are
+    broadcast; where many nodes share a label, adaptive execution splits the join that follows it.
     """
-    links = edges.select(F.col(a).alias("x"), F.col(b).alias("y")).filter("x IS NOT NULL AND y IS NOT NULL AND x <> y")
-    both = settle(links.union(links.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct(), "edges")
-    labels = settle(both.groupBy(F.col("x").alias("node")).agg(F.least(F.first("x"), F.min("y")).alias("label")), "labels")
+    links = edges.select(F.col(a).alias("x"), F.col(b).alias("node")).filter("x IS NOT NULL AND node IS NOT NULL AND x <> node")
+    both = settle(links.union(links.select(F.col("node").alias("x"), F.col("x").alias("node"))).distinct(), "edges")
+    nodes = settle(both.groupBy("node").agg(F.count(F.lit(1)).alias("degree"), F.least(F.col("node"), F.min("x")).alias("label")), "nodes")
+    total = nodes.agg(F.sum("degree")).first()[0] or 0
+    # Nodes with a thousandth of all edges or more, so at most a thousand: their labels are broadcast in every round.
+    hot_degree = max(1000, total // 1000)
+    hubs = F.broadcast(nodes.filter(F.col("degree") >= hot_degree).select("node", F.lit(True).alias("hub")))
+    both = settle(both.join(hubs, "node", "left").withColumn("hub", F.coalesce("hub", F.lit(False))), "edges")
+    labels = nodes
     for _ in range(max_rounds):
-        reach = join_unique(both.withColumnRenamed("y", "node"), labels, ["node"], "inner").groupBy(F.col("x").alias("node")).agg(F.min("label").alias("best"))
-        met = labels.join(reach, "node").select("node", F.col("label").alias("old"), F.least("label", "best").alias("label"))
-        jump = labels.select(F.col("node").alias("label"), F.col("label").alias("beyond"))
-        step = join_unique(met, jump, ["label"], "left").select("node", F.coalesce("beyond", "label").alias("label"), (F.coalesce("beyond", "label") != F.col("old")).alias("moved"))
-        step = settle(step, "labels")
-        labels = step.select("node", "label")
-        if step.filter("moved").limit(1).count() == 0:
+        now = labels.select("node", "degree", "label")
+        near = both.filter("NOT hub").join(now.select("node", "label"), "node")
+        far = both.filter("hub").join(F.broadcast(now.filter(F.col("degree") >= hot_degree).select("node", "label")), "node")
+        reach = near.unionByName(far).groupBy(F.col("x").alias("node")).agg(F.min("label").alias("best"))
+        met = now.join(reach, "node").select("node", "degree", F.col("label").alias("old"), F.least("label", "best").alias("label"))
+        # Only labels that have since got a lower one themselves lead on; a component's final label leads nowhere.
+        jump = now.filter("label <> node").select(F.col("node").alias("label"), F.col("label").alias("beyond"))
+        step = met.join(jump, "label", "left").select("node", "degree", F.coalesce("beyond", "label").alias("label"), (F.coalesce("beyond", "label") != F.col("old")).alias("moved"))
+        labels = settle(step, "labels")
+        if labels.filter("moved").limit(1).count() == 0:
             break
     else:
         raise RuntimeError(f"components still change after {max_rounds} rounds")

@@ -189,15 +189,16 @@ def nearest(df: DataFrame, queries: DataFrame, key: str, vector: str = "embeddin
 def resolve(df: DataFrame, key: str, edges: DataFrame, scores: DataFrame | None = None, score: str = "score") -> DataFrame:
     """(key, component, kept, is_kept): each row's group and the one that stays: the highest score, then the least key.
     A missing score counts as 0. Rows without an edge are groups of one."""
-    found = connected_components(edges)
+    found = connected_components(settle(edges.select("a", "b"), "edges"))
     ids = df.select(F.col(key).alias("node")).distinct()
-    placed = join_unique(ids, found, ["node"], "left").select("node", F.coalesce("component", "node").alias("component"))
+    placed = ids.join(found, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
     if scores is not None:
         best = scores.groupBy(F.col(key).alias("node")).agg(F.max(score).alias("score"))
-        placed = join_unique(placed, best, ["node"], "left")
+        placed = placed.join(best, "node", "left")
     else:
         placed = placed.withColumn("score", F.lit(None).cast("double"))
     placed = placed.withColumn("score", F.coalesce("score", F.lit(0.0)))
+    placed = settle(placed, "placed")
     kept = placed.groupBy("component").agg(F.min_by("node", F.struct(-F.col("score"), F.col("node"))).alias("kept"), F.count(F.lit(1)).alias("n"))
     out = join_unique(placed, kept, ["component"], "inner", sizes="n")
     return out.select(F.col("node").alias(key), "component", "kept", (F.col("node") == F.col("kept")).alias("is_kept"))

@@ -134,7 +134,7 @@ def _score(name: str, columns: dict[str, str]) -> None:
     _add(
         name,
         lambda s, d: _scored(s, d).select("doc_id", *[F.round(c, 6).alias(c) if c.startswith(("flesch", "avg", "trans", "lex", "length_v", "content", "number", "cap", "words_per", "alpha")) or c in quality.FAMILIES else F.col(c) for c in columns]),
-        _SCORED + "SELECT doc_id, " + ", ".join(f"round({v}, 6) AS {c}" if c.startswith(("flesch", "avg", "trans", "lex", "length_v", "content", "number", "cap", "words_per", "alpha")) or c in quality.FAMILIES else f"{v} AS {c}" for c, v in columns.items()) + " FROM scored",
+        _SCORED + "SELECT doc_id, " + ", ".join(f"round(({v})::DOUBLE, 6) AS {c}" if c.startswith(("flesch", "avg", "trans", "lex", "length_v", "content", "number", "cap", "words_per", "alpha")) or c in quality.FAMILIES else f"{v} AS {c}" for c, v in columns.items()) + " FROM scored",
     )
 
 
