@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def make_room(df: DataFrame, outputs: Iterable[str], keep: Iterable[str] = ()) -> DataFrame:
@@ -28,3 +28,11 @@ def make_room(df: DataFrame, outputs: Iterable[str], keep: Iterable[str] = ()) -
         seen.add(new.lower())
         names.append(new)
     return df.toDF(*names) if names != df.columns else df
+
+
+def fenced(df: DataFrame, **made: Column) -> DataFrame:
+    """``df`` with the columns ``made``, computed once: each comes out of a generator, so the optimizer can't copy
+    their expressions into filters and projections above. For costly nested expressions that are used several times."""
+    taken = {k.lower() for k in made}
+    kept = [c for c in df.columns if c.lower() not in taken]
+    return df.select(*kept, F.inline(F.array(F.struct(*[c.alias(n) for n, c in made.items()]))))

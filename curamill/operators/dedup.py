@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from curamill.functions import text as X
+from curamill.functions.columns import fenced
 from curamill.functions.skew import join_unique
 from curamill.operators.components import connected_components
 from curamill.session import settle
@@ -22,7 +23,7 @@ def exact_groups(df: DataFrame, key: str, text: str = "text") -> DataFrame:
 
 def exact_edges(df: DataFrame, key: str, text: str = "text") -> DataFrame:
     """(a, b, method, score): every further member of an exact group tied to its first one. A hot group is one row here."""
-    hashed = df.filter(F.col(text).isNotNull()).select(F.col(key).alias("b"), X.content_hash(text).alias("hash"))
+    hashed = settle(df.filter(F.col(text).isNotNull()).select(F.col(key).alias("b"), X.content_hash(text).alias("hash")), "hashes")
     groups = hashed.groupBy("hash").agg(F.min("b").alias("a"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     return join_unique(hashed, groups, ["hash"], "inner", sizes="n").filter("a <> b").select("a", "b", F.lit("exact").alias("method"), F.lit(1.0).alias("score")).distinct()
 
@@ -83,8 +84,10 @@ def fuzzy_edges(df: DataFrame, key: str, text: str = "text", options: Fuzzy = Fu
     set stands for all its copies, which are tied to it with score 1.
 
     Buckets of more than ``bucket`` texts are joined block by block, so that no task holds a whole bucket."""
-    docs = df.filter(F.col(text).isNotNull()).select(F.col(key).alias("id"), X.comparable(text).alias("t"))
-    hashed = docs.withColumn("set", F.array_sort(F.transform(shingles(F.col("t"), options), lambda v: F.xxhash64(v)))).filter(F.size("set") > 0).withColumn("cls", F.xxhash64(F.array_join("set", ",")))
+    docs = df.filter(F.col(text).isNotNull()).select(F.col(key).alias("id"), F.col(text).alias("t"))
+    docs = fenced(docs, t=X.comparable("t"))
+    docs = fenced(docs, set=F.array_sort(F.array_distinct(F.transform(shingles(F.col("t"), options), lambda v: F.xxhash64(v)))))
+    hashed = settle(docs.select("id", "set").filter(F.size("set") > 0).withColumn("cls", F.xxhash64(F.array_join("set", ","))), "shingles")
     classes = hashed.groupBy("cls").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n"), F.any_value("set").alias("set"))
     classes = settle(classes.withColumn("bands", _bands(options)("set")), "classes")
     copies = join_unique(hashed.select("cls", F.col("id").alias("b")), classes.filter("n > 1").select("cls", F.col("id").alias("a"), "n"), ["cls"], "inner", sizes="n").filter("a <> b").select("a", "b")
@@ -97,10 +100,11 @@ def fuzzy_edges(df: DataFrame, key: str, text: str = "text", options: Fuzzy = Fu
     left = rows.select("band", "key", F.col("id").alias("a"), own.alias("i"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("j"))
     right = rows.select("band", "key", F.col("id").alias("b"), own.alias("j"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("i"))
     pairs = left.join(right, ["band", "key", "i", "j"]).filter("a < b").select("a", "b").distinct()
+    pairs = settle(pairs, "pairs")
     if options.verify:
         side = classes.select("id", "set")
-        for end in ("a", "b"):
-            pairs = join_unique(pairs, side.select(F.col("id").alias(end), F.col("set").alias(f"set_{end}")), [end], "inner")
+        for end in ("a", "b"):  # a text with very many partners is split by adaptive execution
+            pairs = pairs.join(side.select(F.col("id").alias(end), F.col("set").alias(f"set_{end}")), end)
         pairs = pairs.select("a", "b", X.jaccard(F.col("set_a"), F.col("set_b")).alias("score")).filter(F.col("score") >= options.threshold)
     else:
         pairs = pairs.withColumn("score", F.lit(None).cast("double"))

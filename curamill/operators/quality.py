@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from curamill.functions import lexicons as L, text as X
-from curamill.functions.columns import make_room
+from curamill.functions.columns import fenced, make_room
 
 FAMILIES = ("readability", "coherence", "information_density", "completeness", "linguistic_quality")
 WEIGHTS = {"readability": 0.20, "coherence": 0.25, "information_density": 0.25, "completeness": 0.15, "linguistic_quality": 0.15}
@@ -18,10 +18,10 @@ _WORK = ("__s", "__st", "__t", "__w")
 
 def prepare(df: DataFrame, text: str) -> DataFrame:
     """Adds the working arrays: sentences, their tokens, all lower-cased tokens, the alphabetic ones."""
-    out = df.withColumn("__s", X.sentences(F.coalesce(F.col(text), F.lit(""))))
-    out = out.withColumn("__st", F.transform("__s", lambda s: X.tokens(F.lower(s))))
-    out = out.withColumn("__t", F.flatten("__st"))
-    return out.withColumn("__w", X.letters_only(F.col("__t")))
+    out = fenced(df, __s=X.sentences(F.coalesce(F.col(text), F.lit(""))))
+    out = fenced(out, __st=F.transform("__s", lambda s: X.tokens(F.lower(s))))
+    out = fenced(out, __t=F.flatten("__st"))
+    return fenced(out, __w=X.letters_only(F.col("__t")))
 
 
 def _band(x: Column, lo: float, hi: float, fall: float, floor: float) -> Column:
@@ -82,7 +82,9 @@ def measure(df: DataFrame, text: str = "text") -> DataFrame:
     out = out.withColumn("__m", mean)
     spread = F.sqrt(F.aggregate("length_variance", F.lit(0.0), lambda a, v: a + (v - F.col("__m")) * (v - F.col("__m"))) / F.size("length_variance"))
     out = out.withColumn("length_variance", F.when(F.size("__s") >= 2, spread / (F.col("__m") + 1)))
-    return out.withColumn("__n", F.size("__t")).select(*keep, *DETAILS, F.size("__s").alias("n_sentences"), F.col("__n").alias("n_tokens"), F.size("__w").alias("n_words"))
+    # One generated row each: filters on the results stay above it instead of being copied, with all they are made of, below.
+    made = F.struct(*DETAILS, F.size("__s").alias("n_sentences"), F.size("__t").alias("n_tokens"), F.size("__w").alias("n_words"))
+    return out.select(*keep, F.inline(F.array(made)))
 
 
 def _scores() -> dict[str, Column]:
