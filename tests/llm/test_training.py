@@ -302,7 +302,7 @@ def test_sentences(text, want):
 
 def test_learned_abbreviations_and_edges(spark):
     names = ["Brown", "Green", "White", "Black", "Stone", "Field"]
-    texts = [f"The car of Dr. {a} stood near the house. Then Dr. {b} saw the dog and the cat of Mr. {a}. The door of the house was red and we saw it too. A man came to the door." for a in names for b in names] * 4
+    texts = [f"The car of Dr. {a} stood near the house. Then Dr. {b} saw the dog and the cat of Mr. {a}. The door of the house was red and we saw it too. The man came to the door." for a in names for b in names] * 4
     learned = sentences.learn(rows(spark, texts))["en"]
     assert {"dr", "mr"} <= learned.abbreviations and "house" not in learned.abbreviations - learned.enders
     df = rows(spark, [*texts[:40], None, "", texts[0]]).withColumn("start_pos", F.lit(9))
