@@ -79,6 +79,14 @@ def test_quality_edges(spark):
     assert got[2]["is_prose_input"] == 1 and quality.score_quality(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("copies", [1, 3])
+def test_lists_alone_in_their_language_are_no_prose(spark, copies):
+    listed = "\n".join(f"{i}) ключ / {i:05d}" for i in range(20))
+    got = {r["id"]: r for r in quality.score_quality(rows(spark, [*PROSE, *[listed] * copies])).collect()}
+    assert all(got[i]["is_prose"] for i in range(4)) and not any(got[i]["is_prose"] for i in range(4, 4 + copies))
+    assert got[4]["language"] == "ru" and got[4]["junk_score"] == 0
+
+
 def test_prose_agrees_with_the_layout_labels(spark, data):
     docs = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "layout", "text")
     got = quality.score_quality(docs).select("layout", "is_prose").collect()
