@@ -32,8 +32,8 @@ OUTPUTS = ("language", "sentence_share", "is_prose", "level_score", "level", "le
 
 @dataclass(frozen=True)
 class Grading:
-    """``table``: how many of each language's most frequent words carry their own rarity; all others count as rarer
-    than any of them. ``penalty`` is the ridge on the coefficients. ``draws``: passages of ``passage`` sentences drawn per
+    """``table``: how many of each language's most frequent words every task holds; the counts of all others are
+    joined, so it decides the cost and not the result. ``penalty`` is the ridge on the coefficients. ``draws``: passages of ``passage`` sentences drawn per
     level from the graded text. ``least_share``: texts with a smaller share of words in sentences are no prose."""
 
     table: int = 5000
@@ -127,9 +127,8 @@ class OrdinalModel:
         return 1 + int((f > self.theta).sum())
 
 
-def word_rarity(df: DataFrame, text: str, options: Grading) -> dict[str, tuple[dict[str, float], float]]:
-    """For each language the -log10 frequency of its ``table`` most frequent words over the whole table, and the value
-    for all rarer ones. What reaches the driver is bounded by ``table`` words a language."""
+def count_words(df: DataFrame, text: str) -> DataFrame:
+    """``language``, ``word``, ``n``: how often each word of each language stands in the whole table."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, Counter] = {v: Counter() for v in LANGUAGES}
@@ -152,16 +151,37 @@ def word_rarity(df: DataFrame, text: str, options: Grading) -> dict[str, tuple[d
         yield flush()
 
     counted = df.filter(F.col(text).isNotNull()).select(text).mapInArrow(count, "language string, word string, n bigint")
-    counted = settle(counted.filter(~F.col("word").rlike(r"^\d")).groupBy("language", "word").agg(F.sum("n").alias("n")), "words")
-    totals = {r["language"]: r["n"] for r in counted.groupBy("language").agg(F.sum("n").alias("n")).collect()}
-    out = {}
-    for language in LANGUAGES:
-        total = totals.get(language, 0) + 1
-        top = counted.filter(F.col("language") == language).orderBy(F.desc("n"), "word").limit(options.table).collect()
-        least = min((r["n"] for r in top), default=1)
-        rarest = -math.log10(least / total) + 0.5
-        out[language] = ({r["word"]: -math.log10(r["n"] / total) for r in top}, rarest)
-    return out
+    return counted.filter(~F.col("word").rlike(r"^\d")).groupBy("language", "word").agg(F.sum("n").alias("n"))
+
+
+@dataclass(frozen=True)
+class Rarity:
+    """-log10 frequency of words, in units of 1 / ``UNIT`` so that sums don't depend on their order. ``words`` has every
+    word of the table as (language, word, rarity); ``near`` the ``Grading.table`` most frequent of each language and
+    ``graded`` those of the graded text, both bounded and on the driver. ``rarest`` is the value of words the table lacks."""
+
+    words: DataFrame
+    near: dict[str, dict[str, int]]
+    graded: dict[str, dict[str, int]]
+    rarest: dict[str, int]
+
+
+UNIT = 10**9
+
+
+def word_rarity(df: DataFrame, text: str, options: Grading) -> Rarity:
+    """Rarities by the counts of all words over the whole table; equal counts of a language have equal rarity."""
+    counted = settle(count_words(df, text), "words")
+    totals = dict.fromkeys(LANGUAGES, 1) | {r["language"]: r["n"] + 1 for r in counted.groupBy("language").agg(F.sum("n").alias("n")).collect()}
+    total = F.create_map(*[F.lit(x) for pair in totals.items() for x in pair])[F.col("language")]
+    every = counted.withColumn("rarity", F.round(-F.log10(F.col("n") / total) * UNIT).cast("bigint"))
+    near = {v: {r["word"]: r["rarity"] for r in every.filter(F.col("language") == v).orderBy(F.desc("n"), "word").limit(options.table).collect()} for v in LANGUAGES}
+    own = {(v, w.lower()) for v, levels in GRADED.items() for sentences in levels.values() for s in sentences for w in find_words(s)}
+    graded: dict[str, dict[str, int]] = {v: {} for v in LANGUAGES}
+    for r in every.join(F.broadcast(df.sparkSession.createDataFrame(sorted(own), "language string, word string")), ["language", "word"], "left_semi").collect():
+        graded[r["language"]][r["word"]] = r["rarity"]
+    rarest = {v: round((math.log10(totals[v]) + 0.5) * UNIT) for v in LANGUAGES}
+    return Rarity(every.drop("n"), near, graded, rarest)
 
 
 def fit(rarity: dict[str, tuple[dict[str, float], float]], options: Grading = Grading()) -> OrdinalModel:
@@ -187,30 +207,60 @@ def grade_texts(df: DataFrame, text: str = "text", options: Grading = Grading())
     sentences; ``is_prose`` tells whether nearly all words stand in sentences, so that mixtures can be told apart. Other
     texts and languages get a null level. Null texts have null in every output, empty ones language ``und`` and share 0. Repeated
     rows get the same level. Clashing input columns come out as ``<name>_input``. Two passes over the whole table, one
-    for the word frequencies and one for the levels; only the frequencies are shuffled.
+    for the word frequencies and one for the levels. Of the words in sentences those outside ``Grading.table`` are joined
+    to their counts, and the sums to the rows, which are written once in between.
     """
     df = make_room(df, OUTPUTS, keep=[text])
     rarity = word_rarity(df, text, options)
-    shared = df.sparkSession.sparkContext.broadcast((rarity, fit(rarity, options)))  # table words a language
-    kinds = pa.struct([("language", pa.string()), ("sentence_share", pa.float64()), ("level_score", pa.float64()), ("level", pa.int32())])
-
-    @F.arrow_udf("struct<language:string,sentence_share:double,level_score:double,level:int>")
-    def grade(texts: pa.Array) -> pa.Array:
-        table, model = shared.value
+    scale = {v: {w: n / UNIT for w, n in words.items()} for v, words in rarity.graded.items()}
+    model = fit({v: (scale[v], rarity.rarest[v] / UNIT) for v in LANGUAGES}, options)
+    shared = df.sparkSession.sparkContext.broadcast((rarity.near, model))  # table words a language
+    word = pa.struct([("word", pa.string()), ("times", pa.int32())])
+    kinds = pa.struct([("language", pa.string()), ("sentence_share", pa.float64()), ("x", pa.list_(pa.float64())), ("near", pa.int64()), ("letters", pa.int32()), ("far", pa.list_(word))])
+
+    @F.arrow_udf("struct<language:string,sentence_share:double,x:array<double>,near:bigint,letters:int,far:array<struct<word:string,times:int>>>")
+    def measure(texts: pa.Array) -> pa.Array:
+        table, _ = shared.value
         rows = []
         for value in texts.to_pylist():
             if value is None:
                 rows.append(None)
                 continue
             found = analyse(value)
-            row = {"language": found.language, "sentence_share": found.share, "level_score": None, "level": None}
+            row = {"language": found.language, "sentence_share": found.share}
             if found.language in table and found.sentence_words >= options.least_words:
-                x = features(found, *table[found.language])
-                row |= {"level_score": round(model.score(found.language, x), 4), "level": model.level(found.language, x)}
+                known, near, far, n = table[found.language], 0, Counter(), 0
+                for w in (w.lower() for s in found.sentences for w in s):
+                    if not w[0].isdigit():
+                        n += 1
+                        if (own := known.get(w)) is None:
+                            far[w] += 1
+                        else:
+                            near += own
+                row |= {"x": features(found, {}, 0.0), "near": near, "letters": max(n, 1), "far": [{"word": w, "times": k} for w, k in far.items()]}
             rows.append(row)
         return pa.array(rows, kinds)
 
+    @F.arrow_udf("struct<level_score:double,level:int>")
+    def grade(languages: pa.Array, x: pa.Array, rare: pa.Array) -> pa.Array:
+        _, model = shared.value
+        rows = []
+        for language, own, r in zip(languages.to_pylist(), x.to_pylist(), rare.to_pylist()):
+            if own is None:
+                rows.append(None)
+                continue
+            own[FEATURES.index("rarity")] = r
+            rows.append({"level_score": round(model.score(language, own), 4), "level": model.level(language, own)})
+        return pa.array(rows, pa.struct([("level_score", pa.float64()), ("level", pa.int32())]))
+
+    columns = df.columns
+    measured = settle(df.withColumn("__row", F.monotonically_increasing_id()).withColumn("__g", measure(text)), "measured")
+    far = measured.select("__row", F.col("__g.language").alias("language"), F.explode("__g.far").alias("w")).select("__row", "language", "w.*")
+    rarest = F.create_map(*[F.lit(x) for pair in rarity.rarest.items() for x in pair])[F.col("language")]
+    sums = far.join(rarity.words, ["language", "word"], "left").groupBy("__row").agg(F.sum(F.col("times") * F.coalesce("rarity", rarest)).alias("__far"))
+    rare = (F.col("__g.near") + F.coalesce("__far", F.lit(0))) / F.lit(UNIT) / F.col("__g.letters")
+    graded = measured.join(sums, "__row", "left").withColumn("__l", grade("__g.language", "__g.x", rare))
     names = F.array(*[F.lit(v) for v in LEVELS])
-    return df.withColumn("__g", grade(text)).select(
-        *df.columns, "__g.language", "__g.sentence_share", (F.col("__g.sentence_share") >= options.least_share).alias("is_prose"), "__g.level_score", "__g.level", F.element_at(names, F.col("__g.level")).alias("level_name")
+    return graded.select(
+        *columns, "__g.language", "__g.sentence_share", (F.col("__g.sentence_share") >= options.least_share).alias("is_prose"), "__l.level_score", "__l.level", F.element_at(names, F.col("__l.level")).alias("level_name")
     )

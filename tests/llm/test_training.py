@@ -121,6 +121,14 @@ def test_ordinal_model_orders_unseen_draws():
     assert right >= 0.95 * total
 
 
+def test_rarity_comes_from_the_counts_of_all_words(spark):
+    kept = "The cat and the dog are in the garden with a {} and the {} is red."
+    values = [kept.format(w, w) for w in ("abacus", "zither")] + ["The cat and the dog are in the garden with a common common common common zzz."] * 9
+    df = rows(spark, values)
+    few, many = ({r["id"]: r["level_score"] for r in level.grade_texts(df, options=level.Grading(table=n)).collect()} for n in (12, 5000))
+    assert few == many and few[0] == few[1] and few[0] is not None
+
+
 # ---- 4 survivors --------------------------------------------------------------------------------------------------
 
 
