@@ -32,13 +32,12 @@ _THAI = regex.compile(r"\p{Thai}")
 
 @dataclass(frozen=True)
 class Learning:
-    """Thresholds on log-likelihood ratios. ``most`` bounds each learned list per language: the strongest stay."""
+    """Thresholds on log-likelihood ratios; whatever reaches one is learned."""
 
     abbreviation: float = 0.3
     collocation: float = 7.88
     starter: float = 30.0
     final: float = 30.0
-    most: int = 20_000
 
 
 @dataclass
@@ -136,17 +135,17 @@ def _ratio(c1: Column, c2: Column, c12: Column, n: Column) -> Column:
     return F.when(p1 > p2, value).otherwise(-value)
 
 
-def _strongest(df: DataFrame, columns: list[str], most: int) -> dict[str, list]:
-    """The strongest rows by language, ``most`` for each of up to ten languages on average, by one distributed top-k."""
+def _by_language(df: DataFrame, columns: list[str]) -> dict[str, list]:
+    """All rows by language."""
     out: dict[str, list] = {}
-    for r in df.select("language", "score", *columns).orderBy(F.desc("score"), "language", *columns).limit(10 * most).collect():
+    for r in df.select("language", *columns).collect():
         out.setdefault(r["language"], []).append(tuple(r[c] for c in columns))
     return out
 
 
 def learn(df: DataFrame, text: str = "text", options: Learning = Learning()) -> dict[str, Language]:
     """Statistics over every text of ``df``. Counting combines in each task and map-side; the ratios are computed
-    distributed, and only the learned lists, bounded by ``most``, reach the driver."""
+    distributed, and only the learned lists, which are whole, reach the driver."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
@@ -175,7 +174,7 @@ def learn(df: DataFrame, text: str = "text", options: Learning = Learning()) ->
     # A word of a single letter followed by a stop is an initial, which is decided by its neighbours, not by this score.
     scored = tokens.filter((F.col("cp") > 0) & (F.col("name") != NUMBER) & (size > 0) & F.col("name").rlike(r"^[\p{L}\p{M}.]+$")).join(F.broadcast(total), "language").withColumn("score", score)
     abbreviations = settle(scored.filter(F.col("score") >= options.abbreviation).select("language", "name", "score"), "abbreviations")
-    model = {v: Language(abbreviations={x[0] for x in rows}) for v, rows in _strongest(abbreviations, ["name"], options.most).items()}
+    model = {v: Language(abbreviations={x[0] for x in rows}) for v, rows in _by_language(abbreviations, ["name"]).items()}
 
     pairs = counts.filter("what IN ('p', 'P')").groupBy("language", F.col("a").alias("w1"), F.col("b").alias("w2")).agg(F.sum("n").alias("c12"), F.sum(F.when(F.col("what") == "P", F.col("n")).otherwise(0.0)).alias("capitals"))
     marked = pairs.join(abbreviations.select("language", F.col("name").alias("w1"), F.lit(True).alias("short")), ["language", "w1"], "left")
@@ -186,7 +185,7 @@ def learn(df: DataFrame, text: str = "text", options: Learning = Learning()) ->
     starters = begins.join(tokens.select("language", "name", "c"), ["language", "name"]).join(F.broadcast(total), "language").join(F.broadcast(breaks), "language")
     starters = starters.withColumn("score", _ratio(F.col("n_breaks"), F.greatest("c", "cs"), F.col("cs"), F.col("n_tokens"))).filter(F.col("score") >= options.starter)
     starters = settle(starters.select("language", "name", "score"), "starters")
-    for v, rows in _strongest(starters, ["name"], options.most).items():
+    for v, rows in _by_language(starters, ["name"]).items():
         model.setdefault(v, Language()).starters = {x[0] for x in rows}
 
     # How strongly the next type depends on this one having a stop, against the types that follow any stop.
@@ -198,7 +197,7 @@ def learn(df: DataFrame, text: str = "text", options: Learning = Learning()) ->
     tied = tied.join(abbreviations.select("language", F.col("name").alias("w1"), F.lit(True).alias("short")), ["language", "w1"], "left")
     tied = tied.filter(F.coalesce("short", F.lit(False)) | (F.length("w1") == 1) | (F.col("w1") == NUMBER) | (F.col("w2") == NUMBER))
     tied = tied.join(starters.select("language", F.col("name").alias("w2"), F.lit(True).alias("starts")), ["language", "w2"], "left").filter(F.col("starts").isNull() | (F.col("w2") == NUMBER))
-    for v, rows in _strongest(tied, ["w1", "w2"], options.most).items():
+    for v, rows in _by_language(tied, ["w1", "w2"]).items():
         model.setdefault(v, Language()).collocations = set(rows)
 
     # A capital after the stop tells of a new sentence if the word is a known starter or else written small inside sentences.
@@ -206,18 +205,18 @@ def learn(df: DataFrame, text: str = "text", options: Learning = Learning()) ->
     small = cases.filter("score > 1 AND upper * 5 < score").select("language", "name")
     started = starters.filter(F.col("name") != NUMBER).select("language", "name").union(small).distinct().select("language", F.col("name").alias("w2"), F.lit(1.0).alias("starts"))
     ends = marked.filter("short").join(started, ["language", "w2"], "left").groupBy("language", F.col("w1").alias("name")).agg((F.sum(F.col("capitals") * F.coalesce("starts", F.lit(0.0))) / F.sum("c12")).alias("score"))
-    for v, rows in _strongest(ends.filter("score >= 0.15"), ["name"], options.most).items():
+    for v, rows in _by_language(ends.filter("score >= 0.15"), ["name"]).items():
         model[v].enders = {x[0] for x in rows}
 
     follow = marked.filter("short").select("language", F.col("w2").alias("name")).distinct()
-    for v, rows in _strongest(cases.filter("score > 1 AND upper * 20 < score").join(follow, ["language", "name"], "left_semi"), ["name"], options.most).items():
+    for v, rows in _by_language(cases.filter("score > 1 AND upper * 20 < score").join(follow, ["language", "name"], "left_semi"), ["name"]).items():
         model[v].lower_only = {x[0] for x in rows}
 
     blanks = counts.filter("what IN ('f', 'e')").groupBy("language", F.col("a").alias("name")).agg(F.sum("n").alias("c"), F.sum(F.when(F.col("what") == "e", F.col("n")).otherwise(0.0)).alias("ce"))
     sums = blanks.groupBy("language").agg(F.sum("c").alias("n"), F.sum("ce").alias("n_ends"))
     finals = blanks.join(F.broadcast(sums), "language").withColumn("score", _ratio(F.col("c"), F.col("n_ends"), F.col("ce"), F.col("n")))
     often = (F.col("c") - F.col("ce")) >= 0.02 * (F.col("n") - F.col("n_ends"))
-    for v, rows in _strongest(finals.filter((F.col("score") >= options.final) & often), ["name"], options.most).items():
+    for v, rows in _by_language(finals.filter((F.col("score") >= options.final) & often), ["name"]).items():
         model.setdefault(v, Language()).finals = {x[0] for x in rows}
     return model
 
@@ -374,7 +373,7 @@ def split_sentences(df: DataFrame, text: str = "text", options: Learning = Learn
     are split each for itself. Clashing input columns come out as ``<name>_input``. Nothing but the counts is shuffled.
     """
     df = make_room(df, OUTPUTS, keep=[text])
-    model = df.sparkSession.sparkContext.broadcast(learn(training if training is not None else df, text, options))  # lists bounded by options.most
+    model = df.sparkSession.sparkContext.broadcast(learn(training if training is not None else df, text, options))  # the learned lists
 
     @F.arrow_udf("array<struct<start_pos:int,end_pos:int>>")
     def find(texts: pa.Array) -> pa.Array:

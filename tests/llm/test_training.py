@@ -316,6 +316,13 @@ def test_sentences(text, want):
     assert [text[a:b] for a, b in found] == want
 
 
+def test_learned_lists_are_whole(spark):
+    large = spark.range(200_001).select(F.lit("en").alias("language"), F.col("id").cast("string").alias("name"), F.lit(9.0).alias("score"))
+    small = spark.createDataFrame([("hi", "x", 1.0)], large.schema)
+    found = sentences._by_language(large.union(small), ["name"])
+    assert len(found["en"]) == 200_001 and found["hi"] == [("x",)]
+
+
 def test_learned_abbreviations_and_edges(spark):
     names = ["Brown", "Green", "White", "Black", "Stone", "Field"]
     texts = [f"The car of Dr. {a} stood near the house. Then Dr. {b} saw the dog and the cat of Mr. {a}. The door of the house was red and we saw it too. The man came to the door." for a in names for b in names] * 4
