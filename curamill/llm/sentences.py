@@ -221,13 +221,21 @@ def learn(df: DataFrame, text: str = "text", options: Learning = Learning()) ->
     return model
 
 
+def _straight(block: str, a: int, b: int) -> bool:
+    """Whether straight quotes at ``a`` and ``b`` belong together: near ones do, others if the first opens and the second closes a word."""
+    if b - a <= 400:
+        return True
+    opens = (a == 0 or block[a - 1].isspace() or block[a - 1] in _OPENERS) and not block[a + 1].isspace()
+    return opens and not block[b - 1].isspace() and not block[b + 1 : b + 2].isalnum()
+
+
 def _enclosed(block: str) -> list[tuple[int, int, bool]]:
-    """(open, close, is a quotation) of paired marks; a mark without a partner within 400 characters encloses nothing."""
+    """(open, close, is a quotation) of paired marks, however far apart; a mark without a partner in the block encloses nothing."""
     open_marks: list[tuple[int, str]] = []
     found = []
     for m in _MARKS.finditer(block):
         mark, at = m.group(), m.start()
-        match = next((k for k in range(len(open_marks) - 1, -1, -1) if (mark in _PAIRS.get(open_marks[k][1], "") or (mark == '"' == open_marks[k][1])) and at - open_marks[k][0] <= 400), None)
+        match = next((k for k in range(len(open_marks) - 1, -1, -1) if mark in _PAIRS.get(open_marks[k][1], "") or (mark == '"' == open_marks[k][1] and _straight(block, open_marks[k][0], at))), None)
         if match is not None:
             found.append((open_marks[match][0], at, open_marks[match][1] in _QUOTES))
             del open_marks[match:]

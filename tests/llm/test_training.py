@@ -316,6 +316,16 @@ def test_sentences(text, want):
     assert [text[a:b] for a, b in found] == want
 
 
+@pytest.mark.parametrize("marks", ["“”", "«»", '""', "()"])
+def test_long_quotations_enclose(marks):
+    said = "It rained all morning and nobody came to the house. " * 12
+    text = f"She wrote {marks[0]}{said.strip()}{marks[1]} and sent it. He read it."
+    found = [a for a, _ in sentences.boundaries(text, {"en": RULES})]
+    assert found == [0, text.index("He read")]
+    lost = f"A board of 5\" was cut. {said}He had a 7\" one. She left."
+    assert len(sentences.boundaries(lost, {"en": RULES})) == 15
+
+
 def test_learned_lists_are_whole(spark):
     large = spark.range(200_001).select(F.lit("en").alias("language"), F.col("id").cast("string").alias("name"), F.lit(9.0).alias("score"))
     small = spark.createDataFrame([("hi", "x", 1.0)], large.schema)
