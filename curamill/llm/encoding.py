@@ -161,6 +161,9 @@ class Classifier:
         return float(self.weights[found, 0].sum())
 
 
+#: The bytes of a replacement character as each chain's reader shows them; what stood there is lost, whatever the rest.
+_MARKS = {decode("�".encode(), r): f"{w}>{r}" for w, r in CHAINS[:7]} | {"锟斤拷": "utf-8>gb18030"}
+_LOST_MARK = regex.compile("|".join(map(regex.escape, _MARKS)))
 _RUN = regex.compile(r"[¡-¿À-ÿ]{3}|[‚ƒ][^\s]{1,2}[‚ƒ]")
 
 
@@ -180,10 +183,12 @@ def examine(line: str, scores: np.ndarray, model: Classifier, depth: int = 0) ->
     """None for a clean line. The likeliest chains are tried in turn; one holds if the line, or failing that single
     stretches between blanks, decode strictly and then read like clean text, or like text garbled once more."""
     order = np.argsort(-scores)
+    mark = _LOST_MARK.search(line)
+    lost = Finding(_MARKS[mark.group()], None, False) if mark else None
     if order[0] == 0:
-        return None
+        return lost
     before = model.likelihood(line)
-    for k in order[:8]:
+    for k in order:
         if k == 0:
             break
         chain = NAMES[k - 1]
@@ -197,6 +202,10 @@ def examine(line: str, scores: np.ndarray, model: Classifier, depth: int = 0) ->
             back = "".join(invert(p, chain) or p for p in _GAPS.split(line))
             if back == line:
                 continue
+        if _LOST_MARK.search(back):
+            if mark:
+                continue  # the mark was only read differently
+            whole = False
         if not chain.startswith("utf-8") and sum(map(str.isalpha, back)) < 0.4 * len(back.replace(" ", "")):
             continue  # scan noise: one-byte chains always decode, so what comes out must at least be words
         if back.isascii():
@@ -211,7 +220,7 @@ def examine(line: str, scores: np.ndarray, model: Classifier, depth: int = 0) ->
             return Finding(f"{further.chain} {chain}", further.restored, whole and further.whole)
         if further is not None or not whole:  # some of it came back
             return Finding(chain, back, False)
-    return Finding(LOST, None, False) if "�" in line else None
+    return Finding(LOST, None, False) if "�" in line else lost
 
 
 _RESULT = pa.struct([("chain", pa.string()), ("restoration", pa.string()), ("lines", pa.int32()), ("text", pa.string())])
@@ -225,8 +234,9 @@ def repair_text(text: str, model: Classifier) -> dict | None:
         return None
     chains, bad, whole, some = [], 0, True, False
     scores = model.scores([lines[i] for i in at])
-    for j in np.flatnonzero(scores.argmax(axis=1)):
-        i = at[j]
+    for j, i in enumerate(at):
+        if not scores[j].argmax() and not _LOST_MARK.search(lines[i]):
+            continue
         found = examine(lines[i], scores[j], model)
         if found is None:
             continue

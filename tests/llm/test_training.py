@@ -184,6 +184,15 @@ def test_encoding_edges(spark):
     assert got[2]["garbled_input"] == 0 and encoding.repair_encoding(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("reader", ["1252", "cp1251", "cp437", "mac_roman"])
+def test_a_misread_replacement_character_is_garbled(reader):
+    model = encoding.Classifier.fit([], encoding.Training())
+    text = f"The caf{encoding.decode('\ufffd'.encode(), reader)} is open."
+    found = encoding.repair_text(text, model)
+    assert found is not None and found["lines"] == 1 and found["restoration"] == "none"
+    assert encoding.repair_text("The café is open, ½ price.", model) is None
+
+
 # ---- 6 near duplicates --------------------------------------------------------------------------------------------
 
 
