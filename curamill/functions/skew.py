@@ -2,33 +2,42 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
+#: A key of no more rows than this is never hot.
+LEAST = 1000
 
-def join_unique(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left", share: int = 1000, sizes: str | None = None) -> DataFrame:
-    """``left`` joined to ``right``, whose ``keys`` are unique, without one task per hot key.
 
-    A key is hot when it holds at least 1/``share`` of the left rows, so at most ``share`` keys are hot, whatever the
-    input's size: their right rows are broadcast (at most ``share`` rows). All other rows take an ordinary join in
-    which no key is hot. ``sizes`` names a column of ``right`` that already holds the number of left rows of a key;
-    otherwise they are counted. Null keys match nothing; with ``how='left'`` they stay with nulls, with ``'inner'``
-    they go.
-    """
+def hot_keys(left: DataFrame, right: DataFrame, keys: list[str], share: int, sizes: str | None) -> list[tuple]:
+    """The keys holding at least 1/``share`` of the left rows and more than ``LEAST`` of them, so at most ``share`` keys."""
     if sizes:
         counts = right.select(*keys, F.col(sizes).alias("__n"))
+        total = counts.agg(F.sum("__n")).first()[0] or 0
     else:
-        present = left
-        for k in keys:
-            present = present.filter(F.col(k).isNotNull())
-        counts = present.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    total = counts.agg(F.sum("__n").alias("__total"))
-    hot = (
-        counts.crossJoin(F.broadcast(total))  # one row
-        .filter((F.col("__n") * share >= F.col("__total")) & (F.col("__n") > 1000))
-        .select(*keys, F.lit(True).alias("__hot"))
-    )
-    hot_right = F.broadcast(right.join(F.broadcast(hot), keys, "inner"))
-    marked = left.join(F.broadcast(hot), keys, "left")
-    rest = marked.filter(F.col("__hot").isNull()).drop("__hot").join(right, keys, how)
-    quick = marked.filter(F.col("__hot")).drop("__hot").join(hot_right, keys, "inner" if how == "inner" else "left").drop("__hot")
-    return rest.unionByName(quick)
+        total = left.count()
+        counts = left.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    if total <= LEAST:
+        return []
+    return [tuple(r)[:-1] for r in counts.filter((F.col("__n") > LEAST) & (F.col("__n") * share >= total)).collect()]
+
+
+def join_unique(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left", share: int = 1000, sizes: str | None = None, spread: int = 64) -> DataFrame:
+    """``left`` joined to ``right``, whose ``keys`` are unique, without one task per hot key.
+
+    A key is hot when it holds at least 1/``share`` of the left rows. There are at most ``share`` such keys, whatever
+    the input's size, and only they reach the driver. Their left rows are salted over ``spread`` parts and their right
+    rows, one a key, repeated for each part, so nothing of the right side is broadcast. Without hot keys it is an
+    ordinary join. ``sizes`` names a column of ``right`` that already holds the number of left rows of a key; otherwise
+    they are counted, so ``left`` should be cheap to read twice. Null keys match nothing; with ``how='left'`` they stay
+    with nulls, with ``'inner'`` they go.
+    """
+    found = hot_keys(left, right, keys, share, sizes)
+    if not found:
+        return left.join(right, keys, how)
+    kinds = T.StructType([T.StructField(k, right.schema[k].dataType) for k in keys])
+    hot = F.broadcast(left.sparkSession.createDataFrame(found, kinds).withColumn("__hot", F.lit(True)))
+    part = F.when(F.col("__hot"), F.monotonically_increasing_id() % spread).otherwise(0)
+    parts = F.when(F.col("__hot"), F.sequence(F.lit(0).cast("bigint"), F.lit(spread - 1).cast("bigint"))).otherwise(F.array(F.lit(0).cast("bigint")))
+    salted = left.join(hot, keys, "left").withColumn("__part", part).drop("__hot")
+    repeated = right.join(hot, keys, "left").withColumn("__part", F.explode(parts)).drop("__hot")
+    return salted.join(repeated, [*keys, "__part"], how).drop("__part")

@@ -37,11 +37,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach. It is what ``spark.checkpoint.dir`` names; only where that is unset
-    (local tests) a temporary folder of this process is used, which goes when the process ends."""
+    """The folder every executor can reach. It is what ``spark.checkpoint.dir`` names. Where that is unset, a temporary
+    folder of this process is used if the session is a local one; on a cluster the setting is required."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
     if not _own_folders:
         _own_folders.append(tempfile.mkdtemp(prefix="curamill-"))
         atexit.register(lambda: [shutil.rmtree(f, ignore_errors=True) for f in _own_folders])
