@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -12,6 +13,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
+from curamill.functions.columns import fenced
 from curamill.functions.skew import join_unique
 from curamill.llm.words import WordHasher, gram_hashes, mixed, words
 from curamill.operators.components import connected_components
@@ -130,18 +132,19 @@ def _signatures(docs: DataFrame, options: Sketching) -> DataFrame:
     return docs.select("id", "text", F.md5("text").alias("text_key")).mapInArrow(scan, f"id {kind}, cls binary, size int, bands array<bigint>, sketch array<bigint>, text_key string")
 
 
-def _differing(x: str, y: str) -> Column:
-    return F.aggregate(F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda t, n: t + n)
+def _differing(x: str, y: str, options: Sketching) -> Column:
+    """In how many bits two sketches differ; spelled out word by word, which stays in generated code."""
+    return reduce(Column.__add__, [F.bit_count(F.col(x)[i].bitwiseXOR(F.col(y)[i])) for i in range(options.words)])
 
 
 def _from_large_buckets(large: DataFrame, classes: DataFrame, options: Sketching) -> DataFrame:
     """Pairs of buckets too large for a join: members fall into blocks, each pair of blocks is a task of bounded size
     that compares sketches and gives only pairs that may be alike."""
     blocks = F.ceil(F.col("n") / options.block).cast("int")
-    own = F.pmod(F.xxhash64("cls"), blocks).cast("int")
-    spread = large.select("band", "cls", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
-    spread = spread.select("band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "cls").distinct()
-    spread = spread.join(classes.select("cls", "size", "sketch"), "cls")
+    own = F.pmod(F.xxhash64("c"), blocks).cast("int")
+    facts = join_unique(large.select("band", "c", own.alias("own"), blocks.alias("blocks")), classes.select("c", "size", "sketch"), ["c"], "inner")
+    spread = facts.select("band", "c", "own", "size", "sketch", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    spread = spread.select("band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "c", "size", "sketch")
     most = options.most_differing(options.threshold - options.margin)
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
@@ -150,17 +153,18 @@ def _from_large_buckets(large: DataFrame, classes: DataFrame, options: Sketching
         found_a, found_b = [], []
         if len(left) and len(right):
             x, y = (np.stack(g["sketch"].to_list()).view(np.uint64) for g in (left, right))
-            names = right["cls"].to_numpy()
-            for row, name, size in zip(x, left["cls"], left["size"]):
-                near = np.bitwise_count(y ^ row).sum(axis=1) <= most
-                near &= np.minimum(right["size"], size).to_numpy() >= options.threshold * np.maximum(right["size"], size).to_numpy()
-                for other in names[near]:
-                    if i != j or name < other:
+            names, sizes = right["c"].to_numpy(), right["size"].to_numpy()
+            for row, name, size in zip(x, left["c"], left["size"]):
+                near = np.minimum(sizes, size) >= options.threshold * np.maximum(sizes, size)
+                at = np.flatnonzero(near)
+                at = at[np.bitwise_count(y[at] ^ row).sum(axis=1) <= most]
+                for other in names[at]:
+                    if name < other or (i != j and name > other):
                         found_a.append(min(name, other))
                         found_b.append(max(name, other))
-        return pd.DataFrame({"a": found_a, "b": found_b})
+        return pd.DataFrame({"a": np.array(found_a, np.int64), "b": np.array(found_b, np.int64)})
 
-    return spread.groupBy("band", "i", "j").applyInPandas(compare, "a binary, b binary")
+    return spread.groupBy("band", "i", "j").applyInPandas(compare, "a bigint, b bigint")
 
 
 def near_duplicates(df: DataFrame, doc_id: str, text: str = "text", options: Sketching = Sketching()) -> NearDuplicates:
@@ -180,56 +184,81 @@ def near_duplicates(df: DataFrame, doc_id: str, text: str = "text", options: Ske
     docs = df.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).filter("id IS NOT NULL")
     signed = settle(_signatures(docs, options), "signatures")
     classes = signed.filter("cls IS NOT NULL").groupBy("cls").agg(
-        F.min("id").alias("class_id"), F.any_value("size").alias("size"), F.any_value("bands").alias("bands"), F.any_value("sketch").alias("sketch"), F.any_value("text_key").alias("text_key")
+        F.min("id").alias("class_id"), F.count(F.lit(1)).alias("n"), F.any_value("size").alias("size"), F.any_value("bands").alias("bands"), F.any_value("sketch").alias("sketch"), F.any_value("text_key").alias("text_key")
     )
-    classes = settle(classes, "classes")
+    classes = settle(classes.withColumn("c", F.monotonically_increasing_id()), "classes")
 
-    rows = classes.select("cls", F.explode("bands").alias("band"))
-    shared = rows.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    rows = settle(join_unique(rows, shared, ["band"], "inner"), "bands")
+    near = _estimated(classes, options)
+    sure = F.col("similarity") >= options.threshold + options.margin
+    decided = near.filter(sure).select("a", "b", "similarity").unionByName(_decided(near.filter(~sure), classes, docs, options))
+    named = settle(decided, "decided")
+    for end in ("a", "b"):
+        named = join_unique(named, classes.select(F.col("c").alias(end), F.col("class_id").alias(f"class_{end}")), [end], "inner")
+    links = named.select(F.least("class_a", "class_b").alias("class_a"), F.greatest("class_a", "class_b").alias("class_b"), "similarity")
+    members = join_unique(signed.select("id", "cls"), classes.select("cls", "class_id", "n"), ["cls"], "left", sizes="n").select("id", "class_id").distinct()
+    return NearDuplicates(members, settle(links, "links"))
+
+
+def _estimated(classes: DataFrame, options: Sketching) -> DataFrame:
+    """(a, b, similarity) of the candidate classes whose sketches say that they may be alike, settled."""
+    rows = classes.select("c", F.explode("bands").alias("band"))
+    shared = settle(rows.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "shared")
+    rows = settle(join_unique(rows, shared, ["band"], "inner", sizes="n"), "bands")
     small = rows.filter(F.col("n") <= options.bucket)
-    pairs = small.select("band", F.col("cls").alias("a")).join(small.select("band", F.col("cls").alias("b")), "band").filter("a < b").select("a", "b")
+    pairs = small.select("band", F.col("c").alias("a")).join(small.select("band", F.col("c").alias("b")), "band").filter("a < b").select("a", "b")
     large = rows.filter(F.col("n") > options.bucket)
     if large.limit(1).count():
-        pairs = pairs.union(_from_large_buckets(large, classes, options))
-    pairs = pairs.distinct()
+        pairs = pairs.unionByName(_from_large_buckets(large, classes, options))
+    pairs = settle(pairs.distinct(), "pairs")
 
-    side = classes.select("cls", "class_id", "size", "sketch", "text_key")
+    side = classes.select("c", "size", "sketch")
     for end in ("a", "b"):
-        pairs = join_unique(pairs, side.select(F.col("cls").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in side.columns[1:]]), [end], "inner")
+        pairs = join_unique(pairs, side.select(F.col("c").alias(end), F.col("size").alias(f"size_{end}"), F.col("sketch").alias(f"sketch_{end}")), [end], "inner")
     pairs = pairs.filter(F.least("size_a", "size_b") >= options.threshold * F.greatest("size_a", "size_b"))
-    pairs = pairs.withColumn("differing", _differing("sketch_a", "sketch_b")).filter(F.col("differing") <= options.most_differing(options.threshold - options.margin))
+    pairs = pairs.select("a", "b", _differing("sketch_a", "sketch_b", options).alias("differing")).filter(F.col("differing") <= options.most_differing(options.threshold - options.margin))
     estimate = F.greatest(F.lit(0.0), 1 + F.lit(options.bits / (4 * options.samples)) * F.log1p(-2 * F.col("differing") / options.bits))
-    pairs = settle(pairs.select("class_id_a", "class_id_b", "text_key_a", "text_key_b", estimate.alias("similarity")), "pairs")
+    return settle(pairs.select("a", "b", estimate.alias("similarity")), "near")
 
-    sure = F.col("similarity") >= options.threshold + options.margin
-    doubtful = pairs.filter(~sure)
-    keys = doubtful.select(F.col("text_key_a").alias("text_key")).union(doubtful.select("text_key_b")).distinct()
-    texts = docs.select(F.md5("text").alias("text_key"), "text").join(keys, "text_key", "left_semi").groupBy("text_key").agg(F.any_value("text").alias("text"))
+
+def _decided(doubtful: DataFrame, classes: DataFrame, docs: DataFrame, options: Sketching) -> DataFrame:
+    """(a, b, similarity) of those pairs whose texts are alike."""
+    wanted = doubtful.select(F.col("a").alias("c")).union(doubtful.select("b")).distinct()
+    keys = classes.select("c", "text_key").join(wanted, "c", "left_semi")
+    once = docs.select(F.md5("text").alias("text_key"), "text").join(keys, "text_key").groupBy("c").agg(F.any_value("text").alias("text"))
+    texts = settle(once, "texts")
     for end in ("a", "b"):
-        doubtful = join_unique(doubtful, texts.select(F.col("text_key").alias(f"text_key_{end}"), F.col("text").alias(f"text_{end}")), [f"text_key_{end}"], "inner")
+        doubtful = join_unique(doubtful, texts.select(F.col("c").alias(end), F.col("text").alias(f"text_{end}")), [end], "inner")
 
     @F.arrow_udf("double")
     def exact(x: pa.Array, y: pa.Array) -> pa.Array:
-        sketcher, out = Sketcher(options), []
+        sketcher, out, last = Sketcher(options), [], {}
         for s, t in zip(x.to_pylist(), y.to_pylist()):
-            p, q = sketcher.grams(s), sketcher.grams(t)
+            last = {v: last[v] if v in last else sketcher.grams(v) for v in (s, t)}
+            p, q = last[s], last[t]
             both = len(np.intersect1d(p, q, assume_unique=True))
             out.append(both / (len(p) + len(q) - both))
         return pa.array(out, pa.float64())
 
-    settled = doubtful.select("class_id_a", "class_id_b", exact("text_a", "text_b").alias("similarity")).filter(F.col("similarity") >= options.threshold)
-    links = pairs.filter(sure).select("class_id_a", "class_id_b", "similarity").unionByName(settled)
-    links = links.select(F.least("class_id_a", "class_id_b").alias("class_a"), F.greatest("class_id_a", "class_id_b").alias("class_b"), "similarity")
-    members = join_unique(signed.select("id", "cls"), classes.select("cls", "class_id"), ["cls"], "left").select("id", "class_id").distinct()
-    return NearDuplicates(members, settle(links, "links"))
+    settled = fenced(doubtful.select("a", "b", "text_a", "text_b"), similarity=exact("text_a", "text_b"))
+    return settled.select("a", "b", "similarity").filter(F.col("similarity") >= options.threshold)
 
 
-def expand(found: NearDuplicates) -> DataFrame:
-    """Every pair of different ids that are alike, (a, b) with a < b: within classes and across links."""
+def expand(found: NearDuplicates, block: int = 4096) -> DataFrame:
+    """Every pair of different ids that are alike, (a, b) with a < b: within classes and across links. A class of many
+    copies is cut into blocks of about ``block`` members, each with the class's other blocks in a task of its own."""
     members = settle(found.members.filter("class_id IS NOT NULL"), "members")
-    same = members.select("class_id", F.col("id").alias("a")).join(members.select("class_id", F.col("id").alias("b")), "class_id")
-    left = members.select(F.col("class_id").alias("class_a"), F.col("id").alias("x"))
-    right = members.select(F.col("class_id").alias("class_b"), F.col("id").alias("y"))
-    across = found.links.join(left, "class_a").join(right, "class_b").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-    return same.select("a", "b").unionByName(across).filter("a < b").distinct()
+    sizes = settle(members.groupBy("class_id").agg(F.count(F.lit(1)).alias("n")), "sizes").withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    several = settle(join_unique(members, sizes.filter("n > 1"), ["class_id"], "inner", sizes="n").withColumn("part", F.pmod(F.xxhash64("id"), "blocks")), "several")
+    left = several.select("class_id", "part", F.col("id").alias("a"), every("blocks").alias("other"))
+    right = several.select("class_id", F.col("part").alias("other"), F.col("id").alias("b"), every("blocks").alias("part"))
+    same = left.join(right, ["class_id", "part", "other"]).select("a", "b")
+
+    one = join_unique(members, sizes, ["class_id"], "inner", sizes="n").withColumn("part", F.pmod(F.xxhash64("id"), "blocks"))
+    ends = found.links.select("class_a", "class_b")
+    for end, name in (("a", "x"), ("b", "y")):
+        ends = join_unique(ends, sizes.select(F.col("class_id").alias(f"class_{end}"), F.col("blocks").alias(f"blocks_{end}")), [f"class_{end}"], "inner").withColumn(f"part_{end}", every(f"blocks_{end}"))
+    for end, name in (("a", "x"), ("b", "y")):
+        ends = ends.join(one.select(F.col("class_id").alias(f"class_{end}"), F.col("part").alias(f"part_{end}"), F.col("id").alias(name)), [f"class_{end}", f"part_{end}"])
+    across = ends.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    return same.unionByName(across).filter("a < b").distinct()
