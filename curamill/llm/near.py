@@ -223,7 +223,7 @@ def _estimated(classes: DataFrame, options: Sketching) -> DataFrame:
 def _decided(doubtful: DataFrame, classes: DataFrame, docs: DataFrame, options: Sketching) -> DataFrame:
     """(a, b, similarity) of those pairs whose texts are alike."""
     wanted = doubtful.select(F.col("a").alias("c")).union(doubtful.select("b")).distinct()
-    keys = classes.select("c", "text_key").join(wanted, "c", "left_semi")
+    keys = settle(classes.select("c", "text_key").join(wanted, "c", "left_semi"), "keys")  # its size is known, so texts are only shuffled if they are many
     once = docs.select(F.md5("text").alias("text_key"), "text").join(keys, "text_key").groupBy("c").agg(F.any_value("text").alias("text"))
     texts = settle(once, "texts")
     for end in ("a", "b"):
