@@ -84,7 +84,30 @@ def test_lists_alone_in_their_language_are_no_prose(spark, copies):
     listed = "\n".join(f"{i}) ключ / {i:05d}" for i in range(20))
     got = {r["id"]: r for r in quality.score_quality(rows(spark, [*PROSE, *[listed] * copies])).collect()}
     assert all(got[i]["is_prose"] for i in range(4)) and not any(got[i]["is_prose"] for i in range(4, 4 + copies))
-    assert got[4]["language"] == "ru" and got[4]["junk_score"] == 0
+    assert got[4]["language"] == "ru" and got[4]["junk_score"] > 1
+
+
+def test_junk_is_found_by_its_tails_among_natural_prose(spark, monkeypatch):
+    listed = ["\n".join(f"{i}) {w} / B-{i * k:05d}" for i in range(20)) for k, w in enumerate(("key", "lamp", "tray"), 1)]
+    mixed = "\n".join(f"{i}) desk lamp / C-{i:05d}" for i in range(6)) + "\n\n" + PROSE[0]
+    df = rows(spark, [*PROSE * 30, mixed, *listed])
+    got = [r["is_prose"] for r in quality.score_quality(df).orderBy("id").collect()]
+    assert got == [True] * (len(PROSE) * 30) + [False] * 4
+    # With ranks that say nothing, every text passes for natural, whatever its sentences.
+    real = quality.tail_probabilities
+    monkeypatch.setattr(quality, "tail_probabilities", lambda *a, **k: real(*a, **k).withColumns({"r_left": F.lit(1.0), "r_right": F.lit(1.0)}))
+    assert all(r["is_prose"] for r in quality.score_quality(df).collect())
+
+
+def test_tails_among_clear_rows_are_exact(spark):
+    rng = random.Random(1)
+    values = [("a", "x", float(rng.randint(1, 60)), rng.random() < 0.5) for _ in range(900)]
+    df = spark.createDataFrame(values, "stat string, language string, value double, clear boolean")
+    clear = [v for *_, v, c in values if c]
+    for r in quality.tail_probabilities(df, parts=5).collect():
+        v = r["value"]
+        assert r["r"] == len(clear)
+        assert r["r_left"] == pytest.approx((sum(x <= v for x in clear) + 1) / (len(clear) + 1)) and r["r_right"] == pytest.approx((sum(x >= v for x in clear) + 1) / (len(clear) + 1))
 
 
 def test_prose_agrees_with_the_layout_labels(spark, data):
@@ -303,6 +326,19 @@ def test_mixture_keeps_budgets_caps_and_nesting(spark):
     assert mix.mix(df.limit(0), targets).drawn.count() == 0 == mix.mix(df, targets.limit(0)).drawn.count()
 
 
+def test_short_sources_are_those_whose_threshold_ran_out(spark, monkeypatch):
+    docs = [(i, "same text" if i % 2 else f"text {i}", "a" if i % 4 else "b") for i in range(400)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string")
+    targets = spark.createDataFrame([("a", 0.5, 1), ("b", 0.5, 1)], "source string, target_share double, max_repeats int")
+    report = {r["source"]: r for r in mix.mix(df, targets).report.collect()}
+    assert report["b"]["short"] and not report["a"]["short"]
+    for r in report.values():  # the supply counts what the draw can give
+        assert r["short"] == (r["drawn_tokens"] == r["supply_tokens"] * r["max_repeats"] < r["target_tokens"])
+    real = mix._thresholds
+    monkeypatch.setattr(mix, "_thresholds", lambda *a: {s: mix.Threshold(t.own, t.passes, t.end, s == "a") for s, t in real(*a).items()})
+    assert not {r["source"]: r for r in mix.mix(df, targets).report.collect()}["b"]["short"]
+
+
 # ---- 9 sentences --------------------------------------------------------------------------------------------------
 
 RULES = sentences.Language(abbreviations={"dr", "approx", "p.m", "no"}, enders={"p.m"}, starters={"the", "we"}, collocations={("no", "##")})
