@@ -178,6 +178,29 @@ def test_survivor_edges(spark):
     assert survivor.fuse(df.limit(0), "key", "id", ["value"], "source", "score", "at").golden.count() == 0
 
 
+def _ruled(spark):
+    """Groups in which the best-scored record is also the fullest and only the date is another's; in the last, score and date differ alone."""
+    values = [(f"k{k}", 2 * k, "s", "x", 0.9, 1) for k in range(20)] + [(f"k{k}", 2 * k + 1, "s", None, 0.2, 5) for k in range(20)] + [("z", 900, "s", "a", 0.9, 1), ("z", 901, "s", "b", 0.2, 5)]
+    return spark.createDataFrame(values, "key string, id long, source string, value string, score double, at int").withColumn("at", F.timestamp_seconds("at"))
+
+
+def test_the_reliable_criteria_choose_the_representative(spark):
+    learned = survivor.fuse(_ruled(spark), "key", "id", ["value"], "source", "score", "at")
+    untaught = survivor.fuse(_ruled(spark), "key", "id", ["value"], "source", "score", "at", options=survivor.Fusion(max_rounds=0))
+    of = lambda found: {r["key"]: r["representative_id"] for r in found.golden.collect()}
+    weights = {r["source"]: r["weight"] for r in learned.reliability.collect()}
+    assert weights["rule:score"] > weights["rule:recency"] and learned.converged
+    assert of(learned)["z"] == 900 and of(untaught)["z"] == 901 and of(learned)["k3"] == 6
+
+
+def test_many_sources_have_the_same_weights_as_few(spark):
+    values = [(f"k{k}", 40 * k + s, f"s{s}", "right" if (k * s) % 7 < 5 else f"odd{s % 3}", 0.1 * (s % 4), s) for k in range(12) for s in range(40)]
+    df = spark.createDataFrame(values, "key string, id long, source string, value string, score double, at int").withColumn("at", F.timestamp_seconds("at"))
+    few, many = (survivor.fuse(df, "key", "id", ["value"], "source", "score", "at", options=survivor.Fusion(inline=n)) for n in (256, 10))
+    assert {k: round(v, 6) for k, v in few.weights.items()} == {k: round(v, 6) for k, v in many.weights.items()} and len(few.weights) == 40
+    assert sorted(map(str, few.golden.collect())) == sorted(map(str, many.golden.collect()))
+
+
 # ---- 5 encodings --------------------------------------------------------------------------------------------------
 
 
