@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
-from curamill.functions.columns import make_room
-from curamill.llm.prose import WORD, language_of
+from curamill.functions.columns import fenced, make_room
+from curamill.llm.prose import COMMON, WORD, find_words, language_of
 from curamill.session import settle
 
 OUTPUTS = ("sentence_index", "start_pos", "end_pos", "sentence")
@@ -28,16 +29,22 @@ _MARKS = regex.compile("[“”„«»‹›「」『』()（）\\[\\]\"｢｣]"
 _CASELESS = regex.compile(r"\p{Lo}")
 _NO_SPACE = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}]")
 _THAI = regex.compile(r"\p{Thai}")
+_OTHER_FINALS = frozenset("!?…。！？")
 
 
 @dataclass(frozen=True)
 class Learning:
-    """Thresholds on log-likelihood ratios; whatever reaches one is learned."""
+    """Thresholds on log-likelihood ratios; whatever reaches one is learned. Beyond ``saturation`` uses of a word only
+    their shares count, so that corpora of all sizes are judged alike. A word is no abbreviation if sentences begin after its
+    stop ``ordinary`` times as often as after other final marks or more; from ``ending`` on, an abbreviation may close a sentence."""
 
     abbreviation: float = 0.3
     collocation: float = 7.88
     starter: float = 30.0
     final: float = 30.0
+    saturation: int = 1000
+    ordinary: float = 0.5
+    ending: float = 0.15
 
 
 @dataclass
@@ -79,6 +86,17 @@ def capital(token: str) -> bool:
     return bool(core) and (core[0].isupper() or (len(core) > 1 and core[1].isupper()))
 
 
+@lru_cache(maxsize=1 << 17)
+def _looks(token: str) -> tuple[str, bool, bool, bool]:
+    """Type, ``stops``, ``capital``, and whether it ends with another final mark."""
+    dot = stops(token)
+    return kind(token), dot, capital(token), not dot and _TAIL.sub("", token)[-1:] in _OTHER_FINALS
+
+
+def _language(text: str) -> str:
+    return language_of(text, find_words(text.lower()))
+
+
 def _blocks(text: str) -> Iterator[tuple[int, str]]:
     at = 0
     for gap in _BLOCK.finditer(text):
@@ -92,28 +110,29 @@ def _blocks(text: str) -> Iterator[tuple[int, str]]:
 def _count(text: str, counts: Counter) -> None:
     """Adds (language, what, a, b) counts of one text: ``t`` tokens by type and stop, ``P`` and ``p`` pairs around
     a stop by the next one's case, ``s`` types after another final mark, ``o`` letter case inside sentences, ``f``/``e`` endings before blanks and ends."""
-    whole = language_of(text, WORD.findall(text.lower()))
+    whole = None
     for _, block in _blocks(text):
         tokens = _TOKEN.findall(block)
-        language = language_of(block, WORD.findall(block.lower()))
-        language = whole if language == "und" else language
+        language = _language(block)
+        if language == "und":
+            whole = whole or _language(text)
+            language = whole
         before = None
         for token in tokens:
-            name = kind(token)
+            name, dot, high, end = _looks(token)
             if not name:
                 before = None
                 continue
-            dot = stops(token)
             counts[language, "t", name, "." if dot else ""] += 1
             if before is not None:
                 last, last_dot, last_end = before
                 if last_dot:
-                    counts[language, "P" if capital(token) else "p", last, name] += 1
+                    counts[language, "P" if high else "p", last, name] += 1
                 elif last_end:
                     counts[language, "s", name, ""] += 1
                 elif name != NUMBER:
-                    counts[language, "o", name, "A" if capital(token) else "a"] += 1
-            before = (name, dot, _TAIL.sub("", token)[-1:] in "!?…。！？" and not dot)
+                    counts[language, "o", name, "A" if high else "a"] += 1
+            before = (name, dot, end)
         if _THAI.search(block):
             for token in tokens[:-1]:
                 if _THAI.search(token[-1:]):
@@ -143,8 +162,17 @@ def _by_language(df: DataFrame, columns: list[str]) -> dict[str, list]:
     return out
 
 
+def _once(df: DataFrame, text: str) -> DataFrame:
+    """Each different text once, so that copies don't weigh more. Only texts that are repeated meet an aggregation; the
+    others merely pass a join with the keys of those, which needs no shuffle of texts while the keys are few."""
+    keyed = df.filter(F.col(text).isNotNull()).select(F.col(text).alias("text"), F.md5(text).alias("k"))
+    repeated = settle(keyed.groupBy("k").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("k"), "repeated")
+    copies = keyed.join(repeated, "k", "left_semi").groupBy("k").agg(F.min("text").alias("text"))
+    return keyed.join(repeated, "k", "left_anti").select("text").unionByName(copies.select("text"))
+
+
 def learn(df: DataFrame, text: str = "text", options: Learning = Learning()) -> dict[str, Language]:
-    """Statistics over every text of ``df``. Counting combines in each task and map-side; the ratios are computed
+    """Statistics over every different text of ``df``. Counting combines in each task and map-side; the ratios are computed
     distributed, and only the learned lists, which are whole, reach the driver."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,21 +191,22 @@ def learn(df: DataFrame, text: str = "text", options: Learning = Learning()) ->
                 yield flush()
         yield flush()
 
-    raw = df.filter(F.col(text).isNotNull()).select(text).mapInArrow(count, "language string, what string, a string, b string, n bigint")
+    raw = _once(df, text).mapInArrow(count, "language string, what string, a string, b string, n bigint")
     counts = settle(raw.groupBy("language", "what", "a", "b").agg(F.sum("n").cast("double").alias("n")), "counts")
 
     tokens = counts.filter("what = 't'").groupBy("language", F.col("a").alias("name")).agg(F.sum("n").alias("c"), F.sum(F.when(F.col("b") == ".", F.col("n")).otherwise(0.0)).alias("cp"))
     total = tokens.groupBy("language").agg(F.sum("c").alias("n_tokens"), F.sum("cp").alias("n_stops"))
     size = F.length(F.regexp_replace("name", r"\.", "")).cast("double")
     inner = F.length("name") - size
-    score = _ratio(F.col("c"), F.col("n_stops"), F.col("cp"), F.col("n_tokens")) * F.exp(-size) * (inner + 1) * F.pow(size, -(F.col("c") - F.col("cp")))
+    seen = F.least(F.col("c"), F.lit(float(options.saturation)))
+    stopped = F.col("cp") / F.col("c") * seen
+    score = _ratio(seen, F.col("n_stops"), stopped, F.col("n_tokens")) * F.exp(-size) * (inner + 1) * F.pow(size, -(seen - stopped))
     # A word of a single letter followed by a stop is an initial, which is decided by its neighbours, not by this score.
     scored = tokens.filter((F.col("cp") > 0) & (F.col("name") != NUMBER) & (size > 0) & F.col("name").rlike(r"^[\p{L}\p{M}.]+$")).join(F.broadcast(total), "language").withColumn("score", score)
-    abbreviations = settle(scored.filter(F.col("score") >= options.abbreviation).select("language", "name", "score"), "abbreviations")
-    model = {v: Language(abbreviations={x[0] for x in rows}) for v, rows in _by_language(abbreviations, ["name"]).items()}
+    candidates = settle(scored.filter(F.col("score") >= options.abbreviation).select("language", "name", "score"), "candidates")
 
     pairs = counts.filter("what IN ('p', 'P')").groupBy("language", F.col("a").alias("w1"), F.col("b").alias("w2")).agg(F.sum("n").alias("c12"), F.sum(F.when(F.col("what") == "P", F.col("n")).otherwise(0.0)).alias("capitals"))
-    marked = pairs.join(abbreviations.select("language", F.col("name").alias("w1"), F.lit(True).alias("short")), ["language", "w1"], "left")
+    marked = pairs.join(candidates.select("language", F.col("name").alias("w1"), F.lit(True).alias("short")), ["language", "w1"], "left")
     after_stop = marked.filter(F.col("short").isNull() & (F.length("w1") > 1) & (F.col("w1") != NUMBER)).select("language", F.col("w2").alias("name"), F.col("c12").alias("n"))
     after_mark = counts.filter("what = 's'").select("language", F.col("a").alias("name"), "n")
     begins = after_stop.unionByName(after_mark).groupBy("language", "name").agg(F.sum("n").alias("cs"))
@@ -185,9 +214,27 @@ def learn(df: DataFrame, text: str = "text", options: Learning = Learning()) ->
     starters = begins.join(tokens.select("language", "name", "c"), ["language", "name"]).join(F.broadcast(total), "language").join(F.broadcast(breaks), "language")
     starters = starters.withColumn("score", _ratio(F.col("n_breaks"), F.greatest("c", "cs"), F.col("cs"), F.col("n_tokens"))).filter(F.col("score") >= options.starter)
     starters = settle(starters.select("language", "name", "score"), "starters")
+    model: dict[str, Language] = {}
     for v, rows in _by_language(starters, ["name"]).items():
         model.setdefault(v, Language()).starters = {x[0] for x in rows}
 
+    # A capital after the stop tells of a new sentence if the word is a learned starter or else written small inside sentences,
+    # as seen here or as function words are.
+    cases = counts.filter("what = 'o'").groupBy("language", F.col("a").alias("name")).agg(F.sum(F.when(F.col("b") == "a", F.col("n")).otherwise(0.0)).alias("score"), F.sum(F.when(F.col("b") == "A", F.col("n")).otherwise(0.0)).alias("upper"))
+    small = cases.filter("score > 1 AND upper * 5 < score").select("language", "name")
+    function = df.sparkSession.createDataFrame([(v, w) for v, words in COMMON.items() for w in words], "language string, name string")
+    started = starters.filter(F.col("name") != NUMBER).select("language", "name").union(small).filter(F.length("name") > 1).union(function).distinct().withColumn("starts", F.lit(1.0))
+    usual = after_mark.join(started, ["language", "name"], "left").groupBy("language").agg((F.sum(F.col("n") * F.coalesce("starts", F.lit(0.0))) / F.sum("n")).alias("usual"))
+    begun = F.sum(F.col("capitals") * F.coalesce("starts", F.lit(0.0))) / F.sum("c12")
+    ends = marked.filter("short").join(started.withColumnRenamed("name", "w2"), ["language", "w2"], "left").groupBy("language", F.col("w1").alias("name")).agg(begun.alias("begun"))
+    ends = candidates.join(ends, ["language", "name"], "left").join(F.broadcast(usual), "language", "left")
+    share = F.coalesce(F.col("begun"), F.lit(0.0)) / F.greatest(F.coalesce("usual", F.lit(1.0)), F.lit(0.5))
+    abbreviations = settle(ends.select("language", "name", share.alias("share")).filter(F.col("share") < options.ordinary), "abbreviations")
+    for v, rows in _by_language(abbreviations, ["name", "share"]).items():
+        own = model.setdefault(v, Language())
+        own.abbreviations = {x[0] for x in rows}
+        own.enders = {x[0] for x in rows if x[1] >= options.ending}
+
     # How strongly the next type depends on this one having a stop, against the types that follow any stop.
     firsts = pairs.groupBy("language", "w1").agg(F.sum("c12").alias("c1"))
     seconds = pairs.groupBy("language", "w2").agg(F.sum("c12").alias("c2"))
@@ -200,17 +247,9 @@ def learn(df: DataFrame, text: str = "text", options: Learning = Learning()) ->
     for v, rows in _by_language(tied, ["w1", "w2"]).items():
         model.setdefault(v, Language()).collocations = set(rows)
 
-    # A capital after the stop tells of a new sentence if the word is a known starter or else written small inside sentences.
-    cases = counts.filter("what = 'o'").groupBy("language", F.col("a").alias("name")).agg(F.sum(F.when(F.col("b") == "a", F.col("n")).otherwise(0.0)).alias("score"), F.sum(F.when(F.col("b") == "A", F.col("n")).otherwise(0.0)).alias("upper"))
-    small = cases.filter("score > 1 AND upper * 5 < score").select("language", "name")
-    started = starters.filter(F.col("name") != NUMBER).select("language", "name").union(small).distinct().select("language", F.col("name").alias("w2"), F.lit(1.0).alias("starts"))
-    ends = marked.filter("short").join(started, ["language", "w2"], "left").groupBy("language", F.col("w1").alias("name")).agg((F.sum(F.col("capitals") * F.coalesce("starts", F.lit(0.0))) / F.sum("c12")).alias("score"))
-    for v, rows in _by_language(ends.filter("score >= 0.15"), ["name"]).items():
-        model[v].enders = {x[0] for x in rows}
-
-    follow = marked.filter("short").select("language", F.col("w2").alias("name")).distinct()
+    follow = pairs.join(abbreviations.select("language", F.col("name").alias("w1")), ["language", "w1"]).select("language", F.col("w2").alias("name")).distinct()
     for v, rows in _by_language(cases.filter("score > 1 AND upper * 20 < score").join(follow, ["language", "name"], "left_semi"), ["name"]).items():
-        model[v].lower_only = {x[0] for x in rows}
+        model.setdefault(v, Language()).lower_only = {x[0] for x in rows}
 
     blanks = counts.filter("what IN ('f', 'e')").groupBy("language", F.col("a").alias("name")).agg(F.sum("n").alias("c"), F.sum(F.when(F.col("what") == "e", F.col("n")).otherwise(0.0)).alias("ce"))
     sums = blanks.groupBy("language").agg(F.sum("c").alias("n"), F.sum("ce").alias("n_ends"))
@@ -318,9 +357,9 @@ def boundaries(text: str, model: dict[str, Language]) -> list[tuple[int, int]]:
     out: list[tuple[int, int]] = []
     whole = None
     for offset, block in _blocks(text):
-        language = language_of(block, WORD.findall(block.lower()))
+        language = _language(block)
         if language == "und":
-            whole = whole or language_of(text, WORD.findall(text.lower()))
+            whole = whole or _language(text)
             language = whole
         own = model.get(language) or Language()
         spans = _enclosed(block)
@@ -389,5 +428,5 @@ def split_sentences(df: DataFrame, text: str = "text", options: Learning = Learn
         return pa.array(rows, pa.list_(pa.struct([("start_pos", pa.int32()), ("end_pos", pa.int32())])))
 
     kept = [c for c in df.columns if c != text]
-    found = df.withColumn("__s", find(text)).select(*kept, text, F.posexplode("__s").alias("sentence_index", "__p"))
+    found = fenced(df, __s=find(text)).select(*kept, text, F.posexplode("__s").alias("sentence_index", "__p"))
     return found.select(*kept, "sentence_index", "__p.*", F.substring(F.col(text), F.col("__p.start_pos") + 1, F.col("__p.end_pos") - F.col("__p.start_pos")).alias("sentence"))

@@ -394,6 +394,17 @@ def test_long_quotations_enclose(marks):
     assert len(sentences.boundaries(lost, {"en": RULES})) == 15
 
 
+def test_learning_is_alike_at_every_size_and_blind_to_copies(spark):
+    names = F.element_at(F.array(*[F.lit(x) for x in ("Brown", "Green", "White", "Stone", "Field")]), (F.col("id") % 5 + 1).cast("int"))
+    title = F.when(F.col("id") % 700 == 0, "Dr").otherwise("Dr.")
+    text = F.concat(F.lit("The bag of "), title, F.lit(" "), names, F.lit(" was in room "), F.col("id").cast("string"), F.lit(" of the house. We saw the dog and a cat there. Then the train left the house."))
+    of = lambda df: sentences.learn(df)["en"]
+    small, large = (of(spark.range(1, n).select(text.alias("text"))) for n in (600, 20_000))
+    assert small == large and small.abbreviations == {"dr"}
+    copies = spark.range(1, 600).select(text.alias("text")).union(spark.range(5_000).select(F.lit("It rained. Dr Brown and Dr Stone met Dr Green and the house there.").alias("text")))
+    assert of(copies).abbreviations == {"dr"}
+
+
 def test_learned_lists_are_whole(spark):
     large = spark.range(200_001).select(F.lit("en").alias("language"), F.col("id").cast("string").alias("name"), F.lit(9.0).alias("score"))
     small = spark.createDataFrame([("hi", "x", 1.0)], large.schema)
@@ -403,7 +414,7 @@ def test_learned_lists_are_whole(spark):
 
 def test_learned_abbreviations_and_edges(spark):
     names = ["Brown", "Green", "White", "Black", "Stone", "Field"]
-    texts = [f"The car of Dr. {a} stood near the house. Then Dr. {b} saw the dog and the cat of Mr. {a}. The door of the house was red and we saw it too. The man came to the door." for a in names for b in names] * 4
+    texts = [f"The car of Dr. {a} stood near the house. Then Dr. {b} saw the dog and the cat of Mr. {a}. The door of the house was red and we saw it too. A man came to the door." for a in names for b in names] * 4
     learned = sentences.learn(rows(spark, texts))["en"]
     assert {"dr", "mr"} <= learned.abbreviations and "house" not in learned.abbreviations - learned.enders
     df = rows(spark, [*texts[:40], None, "", texts[0]]).withColumn("start_pos", F.lit(9))
