@@ -10,7 +10,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from curamill.functions.columns import make_room
+from curamill.functions.columns import fenced, make_room
 
 # How bytes written in one encoding were read as another. Names of public codecs; "1252" is
 # Windows-1252 with its five unassigned bytes kept as control characters, as most software reads it.
@@ -179,7 +179,7 @@ class Finding:
     whole: bool
 
 
-def examine(line: str, scores: np.ndarray, model: Classifier, depth: int = 0) -> Finding | None:
+def examine(line: str, scores: np.ndarray, model: Classifier) -> Finding | None:
     """None for a clean line. The likeliest chains are tried in turn; one holds if the line, or failing that single
     stretches between blanks, decode strictly and then read like clean text, or like text garbled once more."""
     order = np.argsort(-scores)
@@ -215,7 +215,7 @@ def examine(line: str, scores: np.ndarray, model: Classifier, depth: int = 0) ->
         after = model.scores([back])[0]
         if after.argmax() == 0:
             return Finding(chain, back, whole)
-        further = examine(back, after, model, depth + 1) if depth < 3 else None
+        further = examine(back, after, model)
         if further is not None and further.restored is not None:
             return Finding(f"{further.chain} {chain}", further.restored, whole and further.whole)
         if further is not None or not whole:  # some of it came back
@@ -252,9 +252,15 @@ def repair_text(text: str, model: Classifier) -> dict | None:
 
 
 def sample_lines(df: DataFrame, text: str, options: Training) -> list[str]:
-    high = F.filter(F.split(F.col(text), "\n"), lambda x: x.rlike(r"[^\x00-\x7f]"))
-    rows = df.filter(F.col(text).rlike(r"[^\x00-\x7f]")).select(F.xxhash64(text).alias("h"), F.transform(F.slice(high, 1, options.lines), lambda x: F.substring(x, 1, options.line_chars)).alias("lines"))
-    return [x for r in rows.orderBy("h").limit(options.records).collect() for x in r["lines"]]  # bounded by the options
+    """Lines of the texts with the least hashes. A limit on the hash, from the number of different texts, lets through about
+    as many as are wanted over all tasks together, so what they send to the driver doesn't grow with the table."""
+    hashed = df.filter(F.col(text).rlike(r"[^\x00-\x7f]")).select(F.shiftrightunsigned(F.xxhash64(text), 1).alias("h"), F.col(text).alias("text"))
+    different = hashed.agg(F.approx_count_distinct("h", 0.02)).first()[0]
+    below = min(2**63 - 1, int(2**63 * 1.5 * options.records / max(different, 1)))
+    high = F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\x00-\x7f]"))
+    lines = F.transform(F.slice(high, 1, options.lines), lambda x: F.substring(x, 1, options.line_chars))
+    rows = hashed.filter(F.col("h") <= below).select("h", lines.alias("lines")).groupBy("h").agg(F.min("lines").alias("lines"))
+    return [x for r in rows.orderBy("h").limit(options.records).collect() for x in r["lines"]]
 
 
 def repair_encoding(df: DataFrame, text: str = "text", options: Training = Training()) -> DataFrame:
@@ -279,7 +285,7 @@ def repair_encoding(df: DataFrame, text: str = "text", options: Training = Train
         own = Classifier(weights.value)
         return pa.array([None if t is None else repair_text(t, own) for t in texts.to_pylist()], _RESULT)
 
-    looked = df.withColumn("__r", repair(F.when(F.col(text).rlike(r"[^\x00-\x7f]"), F.col(text))))
+    looked = fenced(df, __r=repair(F.when(F.col(text).rlike(r"[^\x00-\x7f]"), F.col(text))))
     return looked.select(
         *df.columns,
         F.when(F.col(text).isNotNull(), F.col("__r.chain").isNotNull()).alias("garbled"),
