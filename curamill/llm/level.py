@@ -32,7 +32,7 @@ OUTPUTS = ("language", "sentence_share", "is_prose", "level_score", "level", "le
 
 @dataclass(frozen=True)
 class Grading:
-    """``table``: how many of each language's most frequent words every task holds; the counts of all others are
+    """``table``: how many of each language's most frequent words every task holds at most; the counts of all others are
     joined, so it decides the cost and not the result. ``penalty`` is the ridge on the coefficients. ``draws``: passages of ``passage`` sentences drawn per
     level from the graded text. ``least_share``: texts with a smaller share of words in sentences are no prose."""
 
@@ -157,7 +157,7 @@ def count_words(df: DataFrame, text: str) -> DataFrame:
 @dataclass(frozen=True)
 class Rarity:
     """-log10 frequency of words, in units of 1 / ``UNIT`` so that sums don't depend on their order. ``words`` has every
-    word of the table as (language, word, rarity); ``near`` the ``Grading.table`` most frequent of each language and
+    word of the table as (language, word, rarity); ``near`` up to ``Grading.table`` of the most frequent of each language and
     ``graded`` those of the graded text, both bounded and on the driver. ``rarest`` is the value of words the table lacks."""
 
     words: DataFrame
@@ -169,13 +169,31 @@ class Rarity:
 UNIT = 10**9
 
 
+def _lowest(words: dict[int, int], most: int) -> int:
+    """The lowest step from which on there are no more than ``most`` words."""
+    total, lowest = 0, 2**30
+    for step in sorted(words, reverse=True):
+        total += words[step]
+        if total > most:
+            break
+        lowest = step
+    return lowest
+
+
 def word_rarity(df: DataFrame, text: str, options: Grading) -> Rarity:
     """Rarities by the counts of all words over the whole table; equal counts of a language have equal rarity."""
     counted = settle(count_words(df, text), "words")
     totals = dict.fromkeys(LANGUAGES, 1) | {r["language"]: r["n"] + 1 for r in counted.groupBy("language").agg(F.sum("n").alias("n")).collect()}
     total = F.create_map(*[F.lit(x) for pair in totals.items() for x in pair])[F.col("language")]
     every = counted.withColumn("rarity", F.round(-F.log10(F.col("n") / total) * UNIT).cast("bigint"))
-    near = {v: {r["word"]: r["rarity"] for r in every.filter(F.col("language") == v).orderBy(F.desc("n"), "word").limit(options.table).collect()} for v in LANGUAGES}
+    # Words from a frequency on that no more than ``table`` words of their language reach; histograms of a few hundred steps.
+    step = F.floor(F.log2("n") * 16).cast("int")
+    steps = every.groupBy("language", step.alias("step")).agg(F.count(F.lit(1)).alias("words")).collect()
+    lowest = {v: _lowest({r["step"]: r["words"] for r in steps if r["language"] == v}, options.table) for v in LANGUAGES}
+    from_step = F.create_map(*[F.lit(x) for pair in lowest.items() for x in pair])[F.col("language")]
+    near: dict[str, dict[str, int]] = {v: {} for v in LANGUAGES}
+    for r in every.filter(step >= from_step).collect():  # at most ``table`` words a language
+        near[r["language"]][r["word"]] = r["rarity"]
     own = {(v, w.lower()) for v, levels in GRADED.items() for sentences in levels.values() for s in sentences for w in find_words(s)}
     graded: dict[str, dict[str, int]] = {v: {} for v in LANGUAGES}
     for r in every.join(F.broadcast(df.sparkSession.createDataFrame(sorted(own), "language string, word string")), ["language", "word"], "left_semi").collect():
