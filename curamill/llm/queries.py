@@ -20,7 +20,7 @@ def p1_found(spark: SparkSession, folder: str) -> DataFrame:
 
 def p1_pieces(spark: SparkSession, folder: str) -> DataFrame:
     """Every chunk as pieces under the token maximum."""
-    chunks = table(spark, folder, "chunks").select("chunk_id", "source_file", "text").dropDuplicates(["chunk_id"])
+    chunks = table(spark, folder, "chunks").select("chunk_id", "source_file", "text")
     return split.split_oversized(chunks).drop("text")
 
 

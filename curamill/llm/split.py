@@ -10,7 +10,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from curamill.functions.columns import make_room
+from curamill.functions.columns import fenced, make_room
 
 # Strength of a place where a piece may begin; a sentence start or better counts as clean.
 NONE, SPACE, CLAUSE, LINE, SENTENCE, PARAGRAPH = range(6)
@@ -180,7 +180,7 @@ def split_oversized(df: DataFrame, text: str = "text", limits: Limits = Limits()
         F.col(text).alias("piece_text"),
     )
     own = df.columns
-    parts = df.filter(large).select("*", cut(F.col(text)).alias("__cuts"))
+    parts = fenced(df.filter(large), __cuts=cut(F.col(text)))
     parts = parts.select(*own, F.size("__cuts").alias("piece_count"), F.posexplode("__cuts").alias("piece_index", "__c"))
     length = F.col("__c.piece_end") - F.col("__c.piece_start")
     parts = parts.select(

@@ -57,6 +57,13 @@ def test_split_edges(spark):
     assert split.split_oversized(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("operator", [split.split_oversized, sentences.split_sentences, encoding.repair_encoding, lambda df: split.split_oversized(df).filter("piece_count > 1").select("id"), lambda df: encoding.repair_encoding(df).filter("garbled").select("id")])
+def test_python_sees_each_text_once(spark, operator):
+    df = rows(spark, [*PROSE, "Café, señor. Brötchen für drei. " * 300])
+    plan = operator(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
 # ---- 2 statistics -------------------------------------------------------------------------------------------------
 
 
