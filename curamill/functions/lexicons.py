@@ -9,9 +9,9 @@ just don should now""".split()
 
 TRANSITIONS = "however therefore furthermore moreover additionally consequently thus hence nevertheless meanwhile subsequently first second finally also besides".split()
 TRANSITION_PHRASES = ["in addition", "for example", "for instance", "in contrast"]
-CONCLUSIONS = ["conclusion", "summary", "to conclude", "finally", "to sum up", "overall"]
+CONCLUSIONS = ["conclusion", "summary", "in conclusion", "to conclude", "finally", "in summary", "to sum up", "overall"]
 # Signs of a cut text, as one pattern on lower-cased text.
-TRUNCATION = r"\.\.\.\s*\z|\bcontinued\b|see next page|to be continued|\[truncated\]|\(cont\)"
+TRUNCATION = r"\.\.\.\n?\z|continued|see next page|to be continued|\[truncated\]|\(cont\)"
 
 TOPICS = {
     "technology": "software hardware computer digital technology algorithm data system programming code".split(),

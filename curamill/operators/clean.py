@@ -139,7 +139,9 @@ def punctuation(x: Column, compat: bool = False) -> Column:
 
 def drop_repeated_lines(x: Column) -> Column:
     """Without a line equal to the one right before it; blank lines stay."""
-    return F.regexp_replace(x, rf"(^|\n)(?=[^\n]*{L.SOLID})([^\n]*+)(?:\n\2(?=\n|\z))+", "$1$2")
+    before = lambda lines, i: F.get(lines, i - 1)
+    kept = X.let(F.split(x, "\n", -1), lambda lines: F.filter(lines, lambda v, i: ~v.eqNullSafe(before(lines, i)) | ~v.rlike(L.SOLID)))
+    return F.array_join(kept, "\n")
 
 
 def whitespace(x: Column) -> Column:

@@ -1,27 +1,94 @@
-"""Document quality: five families of scores between 0 and 1, a weighted composite, a category and a verdict.
-
-Everything is a Column over arrays that are computed once (``prepare``): sentences, tokens by sentence and overall."""
+"""Document quality: five families of scores between 0 and 1, a weighted composite, a category and a verdict."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import re
+import unicodedata
+from functools import lru_cache
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from curamill.functions import lexicons as L, text as X
+from curamill.functions import lexicons as L
 from curamill.functions.columns import fenced, make_room
+from curamill.session import settle
 
 FAMILIES = ("readability", "coherence", "information_density", "completeness", "linguistic_quality")
 WEIGHTS = {"readability": 0.20, "coherence": 0.25, "information_density": 0.25, "completeness": 0.15, "linguistic_quality": 0.15}
 DETAILS = ("flesch_reading_ease", "flesch_kincaid_grade", "avg_sentence_length", "transition_ratio", "lexical_cohesion", "length_variance", "lexical_diversity", "content_word_ratio", "avg_word_length", "number_ratio", "ends_properly", "has_truncation", "has_conclusion", "capitalization_ratio", "words_per_sentence", "alpha_ratio")
 RESULTS = ("composite_score", "category", "passes_threshold", "weakest_metric", "weakest_score")
-_WORK = ("__s", "__st", "__t", "__w")
+COUNTS = ("n_sentences", "n_tokens", "n_words")
+_FLAGS = ("ends_properly", "has_truncation", "has_conclusion")
+_ARROW = pa.struct([(d, pa.bool_() if d in _FLAGS else pa.float64()) for d in DETAILS] + [(c, pa.int32()) for c in COUNTS])
+_KIND = T.StructType([T.StructField(d, T.BooleanType() if d in _FLAGS else T.DoubleType()) for d in DETAILS] + [T.StructField(c, T.IntegerType()) for c in COUNTS])
+_SENTENCE_END = re.compile(r"([.!?]+)[ \t\n\x0b\f\r]+")
+_TOKEN = re.compile(r"[^\W_]+|[^ \t\n\x0b\f\r]")
+_VOWELS = re.compile("[aeiouyàâäéèêëîïôöùûüáíóúñ]+")
+_TRANSITION_PHRASES = re.compile("|".join(L.TRANSITION_PHRASES))
+_TRUNCATION = re.compile(L.TRUNCATION.replace(r"\z", r"\Z"))
+_CONCLUSIONS = re.compile("|".join(L.CONCLUSIONS))
+_STOP, _TRANSITIONS, _DIGITS = frozenset(L.STOP_WORDS), frozenset(L.TRANSITIONS), frozenset("0123456789")
+
+
+@lru_cache(maxsize=1 << 17)
+def _syllables(word: str) -> int:
+    return max(1, len(_VOWELS.findall(word)))
+
+
+def _cohesion(contents: list[set[str]]) -> float:
+    """Mean similarity of neighbouring sentences both of which hold content words; .1 if there are none."""
+    shared = [len(a & b) / len(a | b) for a, b in zip(contents, contents[1:]) if a and b]
+    return sum(shared) / len(shared) if shared else 0.1
+
+
+def details(text: str) -> dict:
+    """The values of ``DETAILS`` and ``COUNTS`` for one text; None where a family has too little text for one."""
+    s = [x for x in (v.strip() for v in _SENTENCE_END.sub("\\1\x01", text).split("\x01")) if x]
+    low = [v.lower() for v in s]
+    st = [_TOKEN.findall(v) for v in low]
+    t = [x for v in st for x in v]
+    w = [x for x in t if x.isalpha()]
+    n_s, n_t, n_w = len(s), len(t), len(w)
+    row = dict.fromkeys(DETAILS) | {"n_sentences": n_s, "n_tokens": n_t, "n_words": n_w}
+    if n_s and n_w:
+        length, syllables = n_w / n_s, sum(map(_syllables, w)) / n_w
+        row |= {"flesch_reading_ease": 206.835 - 1.015 * length - 84.6 * syllables, "flesch_kincaid_grade": 0.39 * length + 11.8 * syllables - 15.59, "avg_sentence_length": length}
+    if n_s >= 2:
+        linked = sum(not _TRANSITIONS.isdisjoint(v) or _TRANSITION_PHRASES.search(x) is not None for v, x in zip(st, low))
+        mean = sum(map(len, st)) / n_s
+        spread = (sum((len(v) - mean) ** 2 for v in st) / n_s) ** 0.5
+        row |= {"transition_ratio": linked / n_s, "lexical_cohesion": _cohesion([set(v) - _STOP for v in st]), "length_variance": spread / (mean + 1)}
+    if n_t >= 10:
+        row |= {"lexical_diversity": len(set(t)) / n_t, "content_word_ratio": sum(x not in _STOP for x in w) / n_t, "number_ratio": sum(not _DIGITS.isdisjoint(x) for x in t) / n_t}
+        if n_w:
+            row["avg_word_length"] = sum(map(len, w)) / n_w
+    if n_s:
+        lower = text.lower()
+        row |= {
+            "ends_properly": s[-1][-1] in ".!?",
+            "has_truncation": _TRUNCATION.search(lower) is not None,
+            "has_conclusion": _CONCLUSIONS.search(lower) is not None,
+            "capitalization_ratio": sum(unicodedata.category(v[0]) == "Lu" for v in s) / n_s,
+            "words_per_sentence": n_w / n_s,
+        }
+    if text:
+        row["alpha_ratio"] = sum(map(str.isalpha, text)) / len(text)
+    return row
+
+
+@F.arrow_udf(_KIND)
+def _details(texts: pa.Array) -> pa.Array:
+    return pa.array([details(t or "") for t in texts.to_pylist()], _ARROW)
 
 
-def prepare(df: DataFrame, text: str) -> DataFrame:
-    """Adds the working arrays: sentences, their tokens, all lower-cased tokens, the alphabetic ones."""
-    out = fenced(df, __s=X.sentences(F.coalesce(F.col(text), F.lit(""))))
-    out = fenced(out, __st=F.transform("__s", lambda s: X.tokens(F.lower(s))))
-    out = fenced(out, __t=F.flatten("__st"))
-    return fenced(out, __w=X.letters_only(F.col("__t")))
+def measure(df: DataFrame, text: str = "text") -> DataFrame:
+    """The input's columns, ``DETAILS`` and ``COUNTS``; null where a family has too little text for one. Clashing input
+    columns come out as ``<name>_input``.
+
+    One visit to Python per batch: the measures share tokens and sets of them, which Spark's array functions would make
+    and copy anew for each, interpreted."""
+    df = make_room(df, (*DETAILS, *COUNTS), keep=[text])
+    return fenced(df, __d=_details(F.col(text))).select(*df.columns, "__d.*")
 
 
 def _band(x: Column, lo: float, hi: float, fall: float, floor: float) -> Column:
@@ -29,64 +96,6 @@ def _band(x: Column, lo: float, hi: float, fall: float, floor: float) -> Column:
     return F.when(x < lo, x / lo).when(x <= hi, 1.0).otherwise(F.greatest(F.lit(floor), 1 - (x - hi) / fall))
 
 
-def _mean(x: Column, of=lambda v: v) -> Column:
-    return F.aggregate(x, F.lit(0.0), lambda a, v: a + of(v)) / F.size(x)
-
-
-def _family_details() -> dict[str, Column]:
-    s, st, t, w = (F.col(c) for c in _WORK)
-    n_s, n_t, n_w = F.size(s), F.size(t), F.size(w)
-    stop = F.array(*[F.lit(v) for v in L.STOP_WORDS])
-    syllables = F.aggregate(w, F.lit(0), lambda a, v: a + F.greatest(F.lit(1), F.regexp_count(v, F.lit("[aeiouyàâäéèêëîïôöùûüáíóúñ]+"))))
-    asl = n_w / n_s
-    spw = syllables / n_w
-    pairs = F.when(n_s >= 2, F.transform(F.sequence(F.lit(1), n_s - 1), lambda i: F.struct(F.element_at("__c", i).alias("a"), F.element_at("__c", i + 1).alias("b")))).otherwise(F.expr("array()"))
-    sizes = F.transform(st, lambda v: F.size(v).cast("double"))
-    lower = F.lower("__text")
-    ratio = {
-        "flesch_reading_ease": F.when((n_s > 0) & (n_w > 0), 206.835 - 1.015 * asl - 84.6 * spw),
-        "flesch_kincaid_grade": F.when((n_s > 0) & (n_w > 0), 0.39 * asl + 11.8 * spw - 15.59),
-        "avg_sentence_length": F.when((n_s > 0) & (n_w > 0), asl),
-        "transition_ratio": F.when(n_s >= 2, F.size(F.filter(F.arrays_zip(s, st), lambda v: F.arrays_overlap(v["__st"], F.array(*[F.lit(x) for x in L.TRANSITIONS])) | F.lower(v["__s"]).rlike("|".join(L.TRANSITION_PHRASES)))) / n_s),
-        "lexical_cohesion": pairs,
-        "length_variance": F.when(n_s >= 2, sizes),
-        "lexical_diversity": F.when(n_t >= 10, F.size(F.array_distinct(t)) / n_t),
-        "content_word_ratio": F.when(n_t >= 10, F.size(F.filter(w, lambda v: ~F.array_contains(stop, v))) / n_t),
-        "avg_word_length": F.when((n_t >= 10) & (n_w > 0), _mean(w, lambda v: F.length(v).cast("double"))),
-        "number_ratio": F.when(n_t >= 10, F.size(F.filter(t, lambda v: v.rlike("[0-9]"))) / n_t),
-        "ends_properly": F.when(n_s > 0, F.element_at(s, -1).rlike(r"[.!?]$")),
-        "has_truncation": F.when(n_s > 0, lower.rlike(L.TRUNCATION)),
-        "has_conclusion": F.when(n_s > 0, lower.rlike("|".join(L.CONCLUSIONS))),
-        "capitalization_ratio": F.when(n_s > 0, F.size(F.filter(s, lambda v: v.rlike(r"^\p{Lu}"))) / n_s),
-        "words_per_sentence": F.when(n_s > 0, n_w / n_s),
-        "alpha_ratio": F.when(F.length("__text") > 0, F.length(F.regexp_replace("__text", r"[^\p{L}]", "")) / F.length("__text")),
-    }
-    return ratio
-
-
-def measure(df: DataFrame, text: str = "text") -> DataFrame:
-    """The input's columns and ``DETAILS``; null where a family has too little text for one."""
-    df = make_room(df, DETAILS, keep=[text])
-    keep = df.columns
-    stop = F.array(*[F.lit(v) for v in L.STOP_WORDS])
-    out = prepare(df, text).withColumn("__text", F.coalesce(F.col(text), F.lit("")))
-    out = out.withColumn("__c", F.transform("__st", lambda v: F.array_except(F.array_distinct(v), stop)))
-    for name, column in _family_details().items():
-        out = out.withColumn(name, column)
-    # Adjacent sentences share words: mean similarity of the pairs both sides of which have any.
-    pairs = F.filter("lexical_cohesion", lambda p: (F.size(p["a"]) > 0) & (F.size(p["b"]) > 0))
-    shared = F.transform(pairs, lambda p: X.jaccard(p["a"], p["b"]))
-    out = out.withColumn("__j", F.when(F.size("__s") >= 2, shared))
-    out = out.withColumn("lexical_cohesion", F.when(F.size("__s") >= 2, F.when(F.size("__j") > 0, _mean(F.col("__j"))).otherwise(0.1)))
-    mean = _mean(F.col("length_variance"))
-    out = out.withColumn("__m", mean)
-    spread = F.sqrt(F.aggregate("length_variance", F.lit(0.0), lambda a, v: a + (v - F.col("__m")) * (v - F.col("__m"))) / F.size("length_variance"))
-    out = out.withColumn("length_variance", F.when(F.size("__s") >= 2, spread / (F.col("__m") + 1)))
-    # One generated row each: filters on the results stay above it instead of being copied, with all they are made of, below.
-    made = F.struct(*DETAILS, F.size("__s").alias("n_sentences"), F.size("__t").alias("n_tokens"), F.size("__w").alias("n_words"))
-    return out.select(*keep, F.inline(F.array(made)))
-
-
 def _scores() -> dict[str, Column]:
     ease, grade, asl = F.col("flesch_reading_ease"), F.col("flesch_kincaid_grade"), F.col("avg_sentence_length")
     ease_score = F.when(ease < 0, 0.0).when(ease < 30, ease / 60).when(ease <= 80, 0.5 + (ease - 30) / 100).otherwise(1.0)
@@ -110,7 +119,7 @@ def score(df: DataFrame, text: str = "text", threshold: float = 0.5) -> DataFram
     Texts too short for a family get its fixed score (readability and coherence .5, density .3, completeness 0);
     null texts are scored like empty ones. Of equal scores the first family in ``FAMILIES`` is the weakest. Clashing
     input columns come out as ``<name>_input``."""
-    df = make_room(df, (*FAMILIES, *RESULTS, *DETAILS), keep=[text])
+    df = make_room(df, (*FAMILIES, *RESULTS, *DETAILS, *COUNTS), keep=[text])
     out = measure(df, text)
     for name, column in _scores().items():
         out = out.withColumn(name, column)
@@ -138,5 +147,5 @@ def stats(scored: DataFrame) -> DataFrame:
 
 
 def report(scored: DataFrame, name: str) -> DataFrame:
-    """The flat report, best first, by name among equals."""
-    return scored.select(name, "composite_score", "category", "passes_threshold", *FAMILIES, "weakest_metric").orderBy(F.desc("composite_score"), name)
+    """The flat report, best first, by name among equals. The sort samples its input, so that is settled before."""
+    return settle(scored.select(name, "composite_score", "category", "passes_threshold", *FAMILIES, "weakest_metric"), "report").orderBy(F.desc("composite_score"), name)
