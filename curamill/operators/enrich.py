@@ -9,14 +9,17 @@ import regex
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from curamill.functions import lexicons as L, text as X
-from curamill.functions.columns import make_room
+from curamill.functions.columns import fenced, make_room
+from curamill.functions.encoders import Encoder
+from curamill.operators.keywords import by_frequency, cascade
 
-OUTPUTS = ("keywords", "keyword_details", "entities", "entity_types", "entity_count", "summary", "potential_questions", "topics", "primary_topic", "topic_scores", "structure", "enrichment_timestamp", "enrichment_version")
+OUTPUTS = ("keywords", "keyword_details", "entities", "entity_types", "entity_count", "summary", "potential_questions", "topics", "primary_topic", "topic_scores", "structure", "enrichment_timestamp", "enrichment_version", "enrichment_error")
 
 
 @dataclass(frozen=True)
 class Features:
-    """Which columns are made; structure always is. A column switched off comes out null."""
+    """Which columns are made; structure always is. A column switched off comes out null. ``keyword_methods`` are tried
+    in turn until one finds any; ``encoder`` is what embedding uses, and without one it is passed over."""
 
     keywords: bool = True
     entities: bool = True
@@ -24,26 +27,42 @@ class Features:
     questions: bool = True
     topics: bool = True
     n_keywords: int = 5
+    keyword_methods: tuple[str, ...] = ("embedding", "statistical", "frequency")
+    encoder: Encoder | None = None
+
+
+_KEYWORD = T.StructType([T.StructField("keyword", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("method", T.StringType())])
+_KEYWORD_ARROW = pa.list_(pa.struct([("keyword", pa.string()), ("score", pa.float64()), ("method", pa.string())]))
 
 
 def keywords(x: str | Column, n: int = 5) -> Column:
     """The ``n`` most frequent lower-cased alphabetic words without stop words; of equally frequent ones the first."""
-    c = F.col(x) if isinstance(x, str) else x
-    stop = F.array(*[F.lit(w) for w in L.STOP_WORDS])
-    words = F.filter(F.regexp_extract_all(F.lower(c), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)), lambda w: w.rlike(r"^\p{L}{2,}$") & ~F.array_contains(stop, w))
-    # Sorting (word, position) brings equal words together; runs of them are then counted in one pass.
-    pairs = F.array_sort(F.transform(words, lambda w, i: F.struct(w.alias("w"), i.alias("i"))))
-    kind = "array<struct<n:int,first:int,w:string>>"
-    zero = F.struct(F.array().cast(kind).alias("done"), F.lit(None).cast("struct<n:int,first:int,w:string>").alias("run"))
 
-    def step(acc: Column, p: Column) -> Column:
-        same = acc["run"]["w"].eqNullSafe(p["w"])
-        one = F.struct((acc["run"]["n"] - 1).alias("n"), acc["run"]["first"].alias("first"), p["w"].alias("w"))
-        new = F.struct(F.lit(-1).alias("n"), p["i"].alias("first"), p["w"].alias("w"))
-        return F.struct(F.when(same | acc["run"].isNull(), acc["done"]).otherwise(F.concat(acc["done"], F.array(acc["run"]))).alias("done"), F.when(same, one).otherwise(new).alias("run"))
+    @F.arrow_udf(T.ArrayType(T.StringType()))
+    def frequent(texts: pa.Array) -> pa.Array:
+        return pa.array([None if t is None else [k for k, _ in by_frequency(t, n)] for t in texts.to_pylist()], pa.list_(pa.string()))
+
+    return frequent(x)
+
+
+def described(x: str | Column, features: Features) -> Column:
+    """Struct of ``keywords`` (keyword, score, method), ``entities`` and ``error``. What fails on a text leaves that text
+    without both and with the message, and doesn't touch the others."""
+    kind = T.StructType([T.StructField("keywords", T.ArrayType(_KEYWORD)), T.StructField("entities", _ENTITY_TYPE), T.StructField("error", T.StringType())])
+    arrow = pa.struct([("keywords", _KEYWORD_ARROW), ("entities", _ENTITY_ARROW), ("error", pa.string())])
 
-    counted = F.aggregate(pairs, zero, step, lambda a: F.when(a["run"].isNull(), a["done"]).otherwise(F.concat(a["done"], F.array(a["run"]))))
-    return F.transform(F.slice(F.array_sort(counted), 1, n), lambda k: k["w"])
+    def one(text: str) -> dict:
+        try:
+            found = cascade(text, features.n_keywords, features.keyword_methods, features.encoder) if features.keywords or features.questions or features.topics else []
+            return {"keywords": [dict(zip(_KEYWORD.names, k)) for k in found], "entities": find_entities(text) if features.entities else None, "error": None}
+        except Exception as e:  # noqa: BLE001 - the chunk is kept, without what failed
+            return {"keywords": None, "entities": None, "error": f"{type(e).__name__}: {e}"[:500]}
+
+    @F.arrow_udf(kind)
+    def describe(texts: pa.Array) -> pa.Array:
+        return pa.array([None if t is None else one(t) for t in texts.to_pylist()], arrow)
+
+    return describe(x)
 
 
 def corpus_keywords(df: DataFrame, key: str, text: str = "text", n: int = 5) -> DataFrame:
@@ -65,15 +84,28 @@ ENTITY_PATTERNS = (
     ("ORG", r"\b\p{Lu}[\p{L}&]+(?: \p{Lu}[\p{L}&]+)* (?:Inc|Ltd|LLC|GmbH|Corp|Co)\b\.?"),
     ("CARDINAL", r"(?<![\w.,])\d+(?:[.,]\d+)*(?![\w%])"),
 )
+# Given names and places that names of persons and places are told by.
+GIVEN_NAMES = "Alice Amelia Anna Anne Antonio Arthur Barbara Carlos Carmen Charles Charlotte Claire David Elena Emily Emma Fatima Franz George Hans Helen Henri Henry Isabel Jack James Jane Javier Jean John Jorge José Juan Julia Karl Klaus Laura Linda Louis Lucas Lucy Luis Manuel Marc María Maria Marie Mark Martin Mary Michael Miguel Nicole Nina Olivia Oscar Paul Pedro Peter Pierre Pilar Rachel Robert Rosa Sarah Simon Sofia Sophie Susan Thomas Victor William Wolfgang".split()
+PLACES = "Argentina Australia Austria Belgium Brazil Canada Chile China Colombia Denmark Egypt England Europe Finland France Germany Greece India Indonesia Ireland Israel Italy Japan Kenya Malaysia Mexico Morocco Netherlands Nigeria Norway Peru Philippines Poland Portugal Russia Scotland Singapore Spain Sweden Switzerland Taiwan Thailand Turkey Ukraine Vietnam Wales Amsterdam Athens Bangkok Barcelona Beijing Berlin Boston Brussels Budapest Cairo Chicago Copenhagen Delhi Dublin Edinburgh Frankfurt Geneva Hamburg Helsinki Istanbul Jakarta Lisbon London Lyon Madrid Melbourne Milan Moscow Mumbai Munich Oslo Paris Prague Rome Seattle Seoul Shanghai Stockholm Sydney Tokyo Toronto Vienna Warsaw Zurich".split()
+PLACES_LONG = ["United States", "United Kingdom", "New York", "New Zealand", "Hong Kong", "Kuala Lumpur", "Los Angeles", "San Francisco", "South Africa", "South Korea", "Saudi Arabia"]
+ENTITY_PATTERNS += (
+    ("PERSON2", rf"\b(?:{'|'.join(GIVEN_NAMES)})(?: \p{{Lu}}\.)?(?: \p{{Lu}}\p{{Ll}}+)+"),
+    ("GPE", rf"\b(?:{'|'.join([*PLACES_LONG, *PLACES])})\b"),
+)
 _ENTITY = regex.compile("|".join(f"(?P<{label}>{pattern})" for label, pattern in ENTITY_PATTERNS))
 _ENTITY_TYPE = T.ArrayType(T.StructType([T.StructField("text", T.StringType()), T.StructField("label", T.StringType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
 _ENTITY_ARROW = pa.list_(pa.struct([("text", pa.string()), ("label", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 
 
+def find_entities(text: str) -> list[dict]:
+    """Spans with label and character offsets, by rules; overlapping readings go to the label that comes first."""
+    return [{"text": m.group(), "label": m.lastgroup.rstrip("2"), "start": m.start(), "end": m.end()} for m in _ENTITY.finditer(text)]
+
+
 @F.arrow_udf(_ENTITY_TYPE)
 def entities(texts: pa.Array) -> pa.Array:
-    """Spans with label and character offsets, by rules; overlapping readings go to the label that comes first."""
-    return pa.array([None if t is None else [{"text": m.group(), "label": m.lastgroup, "start": m.start(), "end": m.end()} for m in _ENTITY.finditer(t)] for t in texts.to_pylist()], _ENTITY_ARROW)
+    """``find_entities`` of each text."""
+    return pa.array([None if t is None else find_entities(t) for t in texts.to_pylist()], _ENTITY_ARROW)
 
 
 def entity_types(x: str | Column) -> Column:
@@ -134,14 +166,15 @@ def structure(x: str | Column) -> Column:
 
 
 def enrich(df: DataFrame, text: str = "text", features: Features = Features()) -> DataFrame:
-    """The input's columns and ``OUTPUTS``. Null texts have null in each of them but the stamp. Clashing input
-    columns come out as ``<name>_input``. Nothing is shuffled."""
+    """The input's columns and ``OUTPUTS``. Null texts have null in each of them but the stamp. A text whose description
+    fails stays, without keywords and entities and with ``enrichment_error``. Clashing input columns come out as
+    ``<name>_input``. Nothing is shuffled; Python sees each text once."""
     df = make_room(df, OUTPUTS, keep=[text])
     c = F.col(text)
-    out = df.withColumn("keywords", keywords(c, features.n_keywords))
-    details = F.map_from_entries(F.transform("keywords", lambda k: F.struct(k.alias("key"), F.struct(F.lit(0.5).alias("score"), F.lit("frequency").alias("method")).alias("value"))))
-    out = out.withColumn("keyword_details", details)
-    out = out.withColumn("entities", entities(c) if features.entities else F.lit(None).cast(_ENTITY_TYPE))
+    out = fenced(df, __d=described(c, features))
+    out = out.withColumn("keywords", F.transform("__d.keywords", lambda k: k["keyword"]))
+    details = F.map_from_entries(F.transform("__d.keywords", lambda k: F.struct(k["keyword"].alias("key"), F.struct(k["score"].alias("score"), k["method"].alias("method")).alias("value"))))
+    out = out.withColumn("keyword_details", details).withColumn("entities", F.col("__d.entities"))
     out = out.withColumn("entity_types", entity_types("entities")).withColumn("entity_count", F.when(F.col("entities").isNotNull(), F.size("entities")))
     out = out.withColumn("summary", summary(c) if features.summary else F.lit(None).cast("string"))
     out = out.withColumn("potential_questions", questions(F.col("keywords"), c) if features.questions else F.lit(None).cast("array<string>"))
@@ -153,10 +186,11 @@ def enrich(df: DataFrame, text: str = "text", features: Features = Features()) -
         out = out.withColumn("topics", topics).withColumn("primary_topic", primary).withColumn("topic_scores", best)
     else:
         out = out.withColumn("topics", F.lit(None).cast("array<string>")).withColumn("primary_topic", F.lit(None).cast("string")).withColumn("topic_scores", F.lit(None).cast("map<string,int>"))
-    out = out.withColumn("structure", structure(c)).drop("__t")
+    out = out.withColumn("structure", structure(c)).withColumn("enrichment_error", F.col("__d.error")).drop("__t", "__d")
     if not features.keywords:
         out = out.withColumn("keywords", F.lit(None).cast("array<string>")).withColumn("keyword_details", F.lit(None).cast("map<string,struct<score:double,method:string>>"))
-    return out.withColumn("enrichment_timestamp", F.current_timestamp()).withColumn("enrichment_version", F.lit("1.0"))
+    out = out.withColumn("enrichment_timestamp", F.current_timestamp()).withColumn("enrichment_version", F.lit("1.0"))
+    return out.select(*df.columns, *OUTPUTS)
 
 
 def stats(enriched: DataFrame) -> DataFrame:
