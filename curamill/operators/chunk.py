@@ -151,6 +151,12 @@ def stats(chunks: DataFrame, document: str = "source_file") -> DataFrame:
     )
 
 
+def size_histogram(chunks: DataFrame, width: int = 100) -> DataFrame:
+    """(from_tokens, n): how many chunks there are by size in steps of ``width`` tokens; steps without any are left out."""
+    step = F.floor(F.col("token_count") / width) * width
+    return chunks.filter("token_count IS NOT NULL").groupBy(step.cast("int").alias("from_tokens")).agg(F.count(F.lit(1)).alias("n")).orderBy("from_tokens")
+
+
 def report(chunks: DataFrame, document: str = "source_file", options: Chunking = Chunking()) -> DataFrame:
     """A row per document, most chunks first, then by name."""
     return (

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from curamill.functions import text as X
 from curamill.functions.columns import fenced
+from curamill.functions.encoders import embedded
 from curamill.functions.skew import join_unique
 from curamill.operators.components import connected_components
 from curamill.session import settle
@@ -36,10 +39,10 @@ class Fuzzy:
     unit: str = "word"
     shingle: int = 5
     threshold: float = 0.8
-    bands: int = 20
-    rows: int = 6
+    bands: int = 32
+    rows: int = 5
     verify: bool = True
-    bucket: int = 100
+    bucket: int = 1000
     seed: int = 1
 
 
@@ -87,7 +90,7 @@ def fuzzy_edges(df: DataFrame, key: str, text: str = "text", options: Fuzzy = Fu
     docs = df.filter(F.col(text).isNotNull()).select(F.col(key).alias("id"), F.col(text).alias("t"))
     docs = fenced(docs, t=X.comparable("t"))
     docs = fenced(docs, set=F.array_sort(F.array_distinct(F.transform(shingles(F.col("t"), options), lambda v: F.xxhash64(v)))))
-    hashed = settle(docs.select("id", "set").filter(F.size("set") > 0).withColumn("cls", F.xxhash64(F.array_join("set", ","))), "shingles")
+    hashed = settle(docs.select("id", "set").filter(F.size("set") > 0).withColumn("cls", F.md5(F.array_join("set", ","))), "shingles")
     classes = hashed.groupBy("cls").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n"), F.any_value("set").alias("set"))
     classes = settle(classes.withColumn("bands", _bands(options)("set")), "classes")
     copies = join_unique(hashed.select("cls", F.col("id").alias("b")), classes.filter("n > 1").select("cls", F.col("id").alias("a"), "n"), ["cls"], "inner", sizes="n").filter("a <> b").select("a", "b")
@@ -111,11 +114,22 @@ def fuzzy_edges(df: DataFrame, key: str, text: str = "text", options: Fuzzy = Fu
     return pairs.unionByName(copies.withColumn("score", F.lit(1.0))).select("a", "b", F.lit("fuzzy").alias("method"), "score")
 
 
-def semantic_edges(df: DataFrame, key: str, vector: str = "embedding", threshold: float = 0.95, bits: int = 10, tables: int = 24, seed: int = 3) -> DataFrame:
+def _projections(n: int, threshold: float, miss: float, bucket: int = 1000) -> tuple[int, int]:
+    """(bits, tables): as many signs that a bucket of ``n`` unrelated vectors holds about ``bucket``, and so many tables
+    that a pair at the threshold shares none with probability ``miss`` at most."""
+    bits = max(4, math.ceil(math.log2(max(n, 1) / bucket)))
+    same = (1 - math.acos(threshold) / math.pi) ** bits
+    return bits, max(1, math.ceil(math.log(miss) / math.log1p(-same)))
+
+
+def semantic_edges(df: DataFrame, key: str, vector: str = "embedding", threshold: float = 0.95, miss: float = 1e-4, block: int = 2000, seed: int = 3) -> DataFrame:
     """(a, b, method, score), a < b, of vectors whose cosine reaches ``threshold``.
 
-    Candidates share all ``bits`` signs of random projections in one of ``tables`` tables; each candidate's cosine is
-    computed. At .95 a table misses a pair with probability .65, all 24 together with .00004. Null and zero vectors match nothing."""
+    Candidates share all signs of a set of random projections in one of several tables; the sets get longer, and the
+    tables more, with the number of vectors, so that buckets stay small while a pair at the threshold is missed with
+    probability ``miss`` at most. Each bucket is compared exactly, block against block of about ``block`` vectors, as matrix
+    products. Null and zero vectors match nothing."""
+    bits, tables = _projections(df.filter(F.col(vector).isNotNull()).count(), threshold, miss)
     planes: dict[int, np.ndarray] = {}
 
     @F.arrow_udf("struct<unit:array<float>,keys:array<bigint>>")
@@ -130,24 +144,50 @@ def semantic_edges(df: DataFrame, key: str, vector: str = "embedding", threshold
             if len(v) not in planes:
                 planes[len(v)] = np.random.default_rng([seed, len(v)]).standard_normal((tables * bits, len(v)))
             sign = (planes[len(v)] @ v > 0).reshape(tables, bits)
-            keys = sign @ (1 << np.arange(bits)) + (np.arange(tables) << (bits + 1))
+            keys = (sign @ (1 << np.arange(bits))) * tables + np.arange(tables)
             rows.append({"unit": (v / norm).astype(np.float32).tolist(), "keys": keys.tolist()})
         return pa.array(rows, pa.struct([("unit", pa.list_(pa.float32())), ("keys", pa.list_(pa.int64()))]))
 
-    placed = settle(df.select(F.col(key).alias("id"), signed(vector).alias("s")).filter("s IS NOT NULL").select("id", "s.*"), "signs")
-    rows = placed.select("id", F.explode("keys").alias("key"))
-    counts = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    rows = join_unique(rows, counts, ["key"], "inner", sizes="n")
-    blocks = F.ceil(F.col("n") / 1000).cast("int")
-    own = F.pmod(F.xxhash64("id"), blocks).cast("int")
-    left = rows.select("key", F.col("id").alias("a"), own.alias("i"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("j"))
-    right = rows.select("key", F.col("id").alias("b"), own.alias("j"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("i"))
-    units = placed.select("id", "unit")
-    dot = F.aggregate(F.zip_with("u", "v", lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda t, p: t + p)
-    left = left.join(units.select(F.col("id").alias("a"), F.col("unit").alias("u")), "a")
-    right = right.join(units.select(F.col("id").alias("b"), F.col("unit").alias("v")), "b")
-    near = left.join(right, (left["key"] == right["key"]) & (left["i"] == right["i"]) & (left["j"] == right["j"]) & (F.col("a") < F.col("b")) & (dot >= threshold))
-    return near.select("a", "b", F.lit("semantic").alias("method"), F.round(dot, 6).alias("score")).distinct()
+    placed = settle(fenced(df.select(F.col(key).alias("id"), F.col(vector).alias("v")), s=signed("v")).filter("s IS NOT NULL").select("id", "s.*"), "signs")
+    rows = placed.select("id", F.explode("keys").alias("key"), F.size("unit").alias("size"))
+    counts = settle(rows.groupBy("key", "size").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "counts")
+    rows = settle(join_unique(placed.select("id", "unit", F.explode("keys").alias("key"), F.size("unit").alias("size")), counts, ["key", "size"], "inner", sizes="n"), "buckets")
+    blocks = F.ceil(F.col("n") / block).cast("int")
+    spread = rows.select("*", F.pmod(F.xxhash64("id"), blocks).cast("int").alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    spread = spread.select("key", "size", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "unit")
+    kind = df.schema[key].dataType.simpleString()
+
+    def compare(group: pd.DataFrame) -> pd.DataFrame:
+        i, j = group["i"].iloc[0], group["j"].iloc[0]
+        left, right = (group[group["own"] == k].reset_index(drop=True) for k in (i, j))
+        if not len(left) or not len(right):
+            return pd.DataFrame({"a": left["id"][:0], "b": left["id"][:0], "score": np.empty(0)})
+        x, y = (np.stack(g["unit"].to_list()).astype(np.float64) for g in (left, right))
+        cosines = x @ y.T
+        p, q = np.nonzero(cosines >= threshold)
+        a, b, score = left["id"].to_numpy()[p], right["id"].to_numpy()[q], cosines[p, q]
+        swap = a > b
+        a, b = np.where(swap, b, a), np.where(swap, a, b)
+        keep = (a != b) & (~swap if i == j else True)
+        return pd.DataFrame({"a": a[keep], "b": b[keep], "score": np.round(score[keep], 6)})
+
+    near = spread.groupBy("key", "size", "i", "j").applyInPandas(compare, f"a {kind}, b {kind}, score double")
+    return near.groupBy("a", "b").agg(F.max("score").alias("score")).select("a", "b", F.lit("semantic").alias("method"), "score")
+
+
+def passes(df: DataFrame, key: str, text: str = "text", fuzzy: Fuzzy = Fuzzy(), semantic_threshold: float | None = None, vectors: DataFrame | None = None, vector: str = "embedding") -> DataFrame:
+    """Edges of all passes, cheapest first: exact, then alike, then near in meaning. Each pass sees one row of each group
+    the passes before it found, so copies are never compared again. The last one takes place with a threshold; it uses
+    ``vectors`` (key, vector), or encodes the texts by hashed runs of characters."""
+    found = settle(exact_edges(df, key, text), "exact")
+    left = df.select(key, text).join(found.select(F.col("b").alias(key)).distinct(), key, "left_anti")
+    alike = settle(fuzzy_edges(left, key, text, fuzzy), "fuzzy")
+    edges = found.unionByName(alike)
+    if semantic_threshold is None:
+        return edges
+    left = settle(left.join(alike.select(F.col("b").alias(key)).distinct(), key, "left_anti"), "left")
+    meant = left.select(key, embedded(text).alias(vector)) if vectors is None else vectors.join(left.select(key), key, "left_semi")
+    return edges.unionByName(semantic_edges(meant, key, vector, semantic_threshold))
 
 
 def nearest(df: DataFrame, queries: DataFrame, key: str, vector: str = "embedding", threshold: float = 0.4, block: int = 2000) -> DataFrame:

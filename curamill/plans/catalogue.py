@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from curamill.functions import lexicons as L, text as X
 from curamill.operators import chunk, clean, dedup, enrich, ingest, quality, search
 from curamill.plans import pipeline, sql
-from curamill.session import settle, table
+from curamill.session import scratch, settle, table
+from curamill.sources import files, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -41,7 +42,31 @@ _add(
     lambda s, d: table(s, d, "documents").groupBy("source", "layout").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("chars")),
     "SELECT source, layout, count(*) AS n, sum(length(text))::BIGINT AS chars FROM documents GROUP BY ALL",
 )
-_add("s10_fingerprint", lambda s, d: table(s, d, "processed").select("filename", F.md5("text").alias("hash")), "SELECT filename, md5(text) AS hash FROM processed")
+_add("s10_fingerprint", lambda s, d: table(s, d, "processed").select("filename", files.fingerprint("text").alias("hash")), "SELECT filename, md5(text) AS hash FROM processed")
+
+
+def _json_lines(s: SparkSession, d: str) -> DataFrame:
+    path = scratch(s, "json")
+    sinks.write_json_lines(table(s, d, "enriched").drop("created_at"), path)
+    return files.read_json_lines(s, path, files.ENRICHED).select("chunk_id", F.array_join("keywords", " ").alias("keywords"), "entity_count", F.size("entity_types").alias("n_types"), "primary_topic", "structure.paragraph_count", "document_metadata.file_size", F.md5("text").alias("hash"))
+
+
+_add("s7_json_lines", _json_lines, "SELECT chunk_id, array_to_string(keywords, ' ') AS keywords, entity_count, coalesce(cardinality(entity_types), -1)::INT AS n_types, primary_topic, structure.paragraph_count AS paragraph_count, document_metadata.file_size AS file_size, md5(text) AS hash FROM enriched")
+
+
+def _csv_report(s: SparkSession, d: str) -> DataFrame:
+    path = scratch(s, "csv")
+    sinks.write_csv_report(table(s, d, "quality_report").select("report_id", "category", "passes_threshold"), path)
+    return s.read.option("header", "true").schema("report_id bigint, category string, passes_threshold boolean").csv(path)
+
+
+_add("k8_csv_report", _csv_report, "SELECT report_id, nullif(category, '') AS category, passes_threshold FROM quality_report")
+
+
+def _routed(s: SparkSession, d: str) -> DataFrame:
+    path = scratch(s, "routed")
+    sinks.write_routed(_validated(s, d).withColumn("is_valid", F.col("validation_status") == "valid").select("filename", "is_valid"), path, "is_valid")
+    return s.read.parquet(path).filter("NOT is_valid").select("filename")
 
 
 def _validated(s: SparkSession, d: str) -> DataFrame:
@@ -71,24 +96,32 @@ _add(
     _VALID + "SELECT count(*) AS total_files, count_if(status = 'valid') AS successful, count_if(status = 'invalid') AS empty, count_if(status = 'error') AS failed, count_if(len(issues) > 0) AS with_issues, round(100 * count_if(status = 'valid') / count(*), 2) AS success_percent FROM y",
 )
 
+_add("k2_rejects", _routed, _VALID + "SELECT filename FROM y WHERE status <> 'valid'")
+
 # ---- cleaning: over texts with a suffix that gives every step something to do --------------------------------------
 
 SUFFIX = "\nPage 3 of 9\n12\n • item one\n1) first\n2 . second\nwell- \nknown fact !! So what?? yes,no a.b\nSame line\nSame line\n\n\n\nSee https://ex.org/a?b=1&c=2#frag or ops@ex.org  now\t...\x0cend\r\nlast\r"
 _D = f"text || {' || '.join(sql.q(p) if i % 2 == 0 else p for i, p in enumerate(SUFFIX.replace(chr(10), '§chr(10)§').replace(chr(12), '§chr(12)§').replace(chr(13), '§chr(13)§').replace(chr(9), '§chr(9)§').split('§')))}"
 
 
-def _step(name: str, make: Callable[[Column], Column], oracle: str | None) -> None:
+_ORACLES: dict[str, str] = {}  # of the steps, over ``x``
+
+
+def _step(name: str, make: Callable[[Column], Column], oracle: str, ctes: str = "") -> None:
+    _ORACLES[name] = oracle
+
     def run(s: SparkSession, d: str) -> DataFrame:
         rows = table(s, d, "processed").select("filename", F.concat("text", F.lit(SUFFIX)).alias("x"))
         return rows.select("filename", make(F.col("x")).alias("y")).select("filename", F.md5("y").alias("hash"), F.length("y").alias("size"))
 
-    _add(name, run, oracle and f"WITH d AS (SELECT filename, {_D} AS x FROM processed), e AS (SELECT filename, {oracle} AS y FROM d) SELECT filename, md5(y) AS hash, length(y) AS size FROM e")
+    _add(name, run, f"WITH {ctes}d AS (SELECT filename, {_D} AS x FROM processed), e AS (SELECT filename, {oracle} AS y FROM d{', maps' if ctes else ''}) SELECT filename, md5(y) AS hash, length(y) AS size FROM e")
 
 
 _LINES = "string_split(x, chr(10))"
-_step("c1_repair", clean.repaired, None)
-_step("c2_html_text", lambda x: clean.html_text(F.concat(F.lit("<p>a<b>b</b><!-- c --></p>"), x)), None)
-_step("c3_nfkc", clean.nfkc, None)
+_MAPS = sql.maps(clean.PLAIN) + ", "
+_step("c1_repair", clean.repaired, sql.repaired("x"), _MAPS)
+_step("c2_html_text", lambda x: clean.html_text(F.concat(F.lit("<p>a<b>b</b><!-- c --></p>"), x)), sql.without_tags("'<p>a<b>b</b><!-- c --></p>' || x"))
+_step("c3_nfkc", clean.nfkc, sql.nfkc("x"), _MAPS)
 _step("c4_mask_urls", clean.mask_urls, f"regexp_replace(x, {sql.q(L.URL)}, '[URL]', 'g')")
 _step("c4_mask_emails", clean.mask_emails, f"regexp_replace(x, {sql.q(L.EMAIL)}, '[EMAIL]', 'g')")
 _step("c4_extract", lambda x: F.concat_ws(" ", clean.urls(x), clean.emails(x)), f"array_to_string(list_concat(regexp_extract_all(x, {sql.q(L.URL)}), regexp_extract_all(x, {sql.q(L.EMAIL)})), ' ')")
@@ -116,8 +149,15 @@ m AS (SELECT filename, length(x) AS original_length, length(y) AS cleaned_length
 """
 _add("c12_metrics", _metrics, _METRICS + "SELECT * FROM m")
 _add("c13_stats", lambda s, d: _metrics(s, d).agg(F.count("original_length").alias("n"), F.sum("chars_removed").alias("chars_removed"), F.round(F.avg("cleanup_ratio_percent"), 4).alias("mean_ratio")), _METRICS + "SELECT count(original_length) AS n, sum(chars_removed)::BIGINT AS chars_removed, round(avg(cleanup_ratio_percent), 4) AS mean_ratio FROM m")
-_add("c11_language", lambda s, d: table(s, d, "documents").select("doc_id", X.language("text").alias("found")))
-_add("c_clean", lambda s, d: clean.clean(table(s, d, "processed").select("filename", "text")).select("filename", "status", "detected_language", "cleaned_length", "chars_removed", F.md5("cleaned_text").alias("hash")))
+_add("c11_language", lambda s, d: table(s, d, "documents").select("doc_id", X.language("text").alias("found")), f"SELECT doc_id, {sql.language('text')} AS found FROM documents")
+_CHAIN = ["c3_nfkc", "c4_mask_urls", "c4_mask_emails", "c5_page_lines", "c6_hyphens", "c7_bullets", "c7_numbered", "c8_punctuation", "c9_repeated_lines", "c10_whitespace"]
+_add(
+    "c_clean",
+    lambda s, d: clean.clean(table(s, d, "processed").select("filename", "text")).select("filename", "status", "detected_language", "cleaned_length", "chars_removed", F.md5("cleaned_text").alias("hash")),
+    f"WITH {_MAPS}s0 AS (SELECT filename, text, {sql.repaired('text')} AS x FROM processed, maps), s1 AS (SELECT filename, text, CASE WHEN contains(x, '<') AND contains(x, '>') THEN {sql.without_tags('x')} ELSE x END AS x FROM s0), "
+    + ", ".join(f"s{i} AS MATERIALIZED (SELECT filename, text, {_ORACLES[n]} AS x FROM s{i - 1}{', maps' if n == 'c3_nfkc' else ''})" for i, n in enumerate(_CHAIN, 2))
+    + f" SELECT filename, CASE WHEN text IS NULL THEN 'failed' ELSE 'success' END AS status, {sql.language('x')} AS detected_language, length(x) AS cleaned_length, length(text) - length(x) AS chars_removed, md5(x) AS hash FROM s{len(_CHAIN) + 1}",
+)
 
 # ---- quality ------------------------------------------------------------------------------------------------------
 
@@ -127,6 +167,7 @@ def _scored(s: SparkSession, d: str) -> DataFrame:
 
 
 _SCORED = sql.quality("documents", "doc_id")
+_WEAKEST = f"CASE least({', '.join(quality.FAMILIES)}) " + " ".join(f"WHEN {f} THEN '{f}'" for f in quality.FAMILIES) + " END"
 
 
 def _score(name: str, columns: dict[str, str]) -> None:
@@ -158,7 +199,12 @@ _add(
     lambda s, d: quality.stats(_scored(s, d)).select("category", "n", *[F.round(c, 6).alias(c) for c in ("min_score", "mean_score", "max_score")]),
     _SCORED + f"SELECT {sql.CATEGORY} AS category, count(*) AS n, round(min(composite_score), 6) AS min_score, round(avg(composite_score), 6) AS mean_score, round(max(composite_score), 6) AS max_score FROM scored GROUP BY 1",
 )
-_add("q11_report", lambda s, d: quality.report(_scored(s, d), "doc_id"))
+_REPORT = ["composite_score", *quality.FAMILIES]
+_add(
+    "q11_report",
+    lambda s, d: quality.report(_scored(s, d), "doc_id").select("doc_id", *[F.round(c, 6).alias(c) for c in _REPORT], "category", "passes_threshold", "weakest_metric"),
+    _SCORED + "SELECT doc_id, " + ", ".join(f"round({c}::DOUBLE, 6) AS {c}" for c in _REPORT) + f", {sql.CATEGORY} AS category, composite_score >= 0.5 AS passes_threshold, {_WEAKEST} AS weakest_metric FROM scored",
+)
 
 # ---- deduplication ------------------------------------------------------------------------------------------------
 
@@ -170,19 +216,20 @@ _add(
     lambda s, d: table(s, d, "documents").select("doc_id", F.size(X.char_shingles(X.comparable("text"))).alias("n_char3"), F.size(X.word_shingles(X.comparable("text"))).alias("n_word5")),
     f"WITH c AS (SELECT doc_id, {sql.comparable('text')} AS t FROM documents), w AS (SELECT doc_id, t, list_filter(regexp_split_to_array(t, ' +'), lambda v: v <> '') AS w FROM c) SELECT doc_id, CASE WHEN length(t) >= 3 THEN len(list_distinct(list_transform(range(1, length(t) - 1), lambda i: t[i:i+2]))) ELSE 0 END AS n_char3, CASE WHEN len(w) >= 5 THEN len(list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' ')))) ELSE 0 END AS n_word5 FROM w",
 )
-_add(
-    "d7_verified_pairs",
-    lambda s, d: dedup.fuzzy_edges(table(s, d, "documents"), "doc_id").select("a", "b", F.round("score", 6).alias("score")),
-    f"""WITH c AS (SELECT doc_id, {sql.comparable('text')} AS t FROM documents WHERE text IS NOT NULL),
+_FUZZY = f"""c AS (SELECT doc_id, {sql.comparable('text')} AS t FROM documents WHERE text IS NOT NULL),
 w AS (SELECT doc_id, list_filter(regexp_split_to_array(t, ' +'), lambda v: v <> '') AS w FROM c),
 s AS (SELECT doc_id, list_sort(list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' ')))) AS g FROM w WHERE len(w) >= 5),
 r AS (SELECT g, min(doc_id) AS a, len(g) AS n FROM s GROUP BY g),
 e AS (SELECT a, n, unnest(g) AS x FROM r),
-p AS (SELECT l.a AS a, r.a AS b, l.n AS n, r.n AS m, count(*) AS k FROM e l JOIN e r ON l.x = r.x AND l.a < r.a GROUP BY ALL)
+p AS (SELECT l.a AS a, r.a AS b, l.n AS n, r.n AS m, count(*) AS k FROM e l JOIN e r ON l.x = r.x AND l.a < r.a GROUP BY ALL)"""
+_add(
+    "d7_verified_pairs",
+    lambda s, d: dedup.fuzzy_edges(table(s, d, "documents"), "doc_id").select("a", "b", F.round("score", 6).alias("score")),
+    f"""WITH {_FUZZY}
 SELECT a, b, round(k / (n + m - k), 6) AS score FROM p WHERE k / (n + m - k) >= 0.8
 UNION ALL SELECT r.a, s.doc_id, 1.0 FROM s JOIN r USING (g) WHERE s.doc_id <> r.a""",
 )
-_add("d6_candidates_compat", lambda s, d: dedup.fuzzy_edges(table(s, d, "deduplicated").dropDuplicates(["filename"]), "filename", options=dedup.COMPAT).select("a", "b"))
+_add("d6_candidates_compat", lambda s, d: dedup.fuzzy_edges(table(s, d, "documents"), "doc_id", options=dedup.COMPAT).select("a", "b"))
 _add(
     "d11_semantic_pairs",
     lambda s, d: dedup.semantic_edges(table(s, d, "embeddings"), "vec_id").select("a", "b"),
@@ -235,7 +282,15 @@ def _groups(s: SparkSession, d: str) -> DataFrame:
     return dedup.resolve(docs, "doc_id", edges)
 
 
-_add("d12_groups", _groups)
+_add(
+    "d12_groups",
+    _groups,
+    f"""WITH RECURSIVE {_FUZZY},
+h AS (SELECT doc_id, {_HASH} AS hash FROM documents WHERE text IS NOT NULL), x AS (SELECT hash, min(doc_id) AS first FROM h GROUP BY hash),
+edges AS (SELECT a, b FROM p WHERE k / (n + m - k) >= 0.8 UNION SELECT r.a, s.doc_id FROM s JOIN r USING (g) WHERE s.doc_id <> r.a UNION SELECT first, doc_id FROM h JOIN x USING (hash) WHERE doc_id <> first),
+{sql.components("edges")}, c0 AS (SELECT node, least(node, min(other)) AS component FROM reach GROUP BY node)
+SELECT doc_id, coalesce(component, doc_id) AS component, coalesce(component, doc_id) AS kept, coalesce(component, doc_id) = doc_id AS is_kept FROM (SELECT DISTINCT doc_id FROM documents) LEFT JOIN c0 ON doc_id = node""",
+)
 
 # ---- chunking -----------------------------------------------------------------------------------------------------
 
@@ -251,6 +306,36 @@ def _chunked(strategy: str) -> Query:
 for _name in ("h1_recursive", "h2_fixed", "h3_semantic"):
     _add(_name, _chunked(_name[3:]))
 _add("h5_default", _chunked("unknown"))
+
+
+def _within(strategy: str) -> Query:
+    """What must hold of the chunks of each document: they stand in it, in order, from its first to its last solid
+    character, none is over the size where the strategy has a last resort, and the metadata are the document's."""
+
+    def run(s: SparkSession, d: str) -> DataFrame:
+        docs = table(s, d, "documents").select("doc_id", "text").filter("text IS NOT NULL")
+        parts = chunk.chunk(docs.withColumn("whole", F.col("text")), "doc_id", options=chunk.Chunking(strategy=strategy))
+        bare = X.strip("whole")
+        at = F.struct("chunk_index", "chunk_text")
+        return parts.groupBy("doc_id").agg(
+            F.every(F.contains("whole", F.col("chunk_text"))).alias("inside"),
+            F.max((F.col("char_count") > 2048).cast("int")).alias("over"),
+            F.every(F.col("document_metadata.char_count") == F.length("whole")).alias("described"),
+            (F.count(F.lit(1)) == F.max("total_chunks")).alias("counted"),
+            F.max(F.when(F.col("chunk_index") == 0, bare.startswith(F.col("chunk_text")))).alias("first"),
+            F.max_by(bare.endswith(F.col("chunk_text")), at).alias("last"),
+        )
+
+    return run
+
+
+for _name in ("recursive", "fixed", "unknown"):
+    _add(
+        f"h_{_name}_holds",
+        _within(_name),
+        f"SELECT doc_id, true AS inside, 0 AS over, true AS described, true AS counted, true AS first, true AS last FROM documents WHERE {sql.strip('text')} <> ''",
+    )
+_add("h19_sizes", lambda s, d: chunk.size_histogram(_measured(s, d)), "SELECT length(text) // 4 // 100 * 100 AS from_tokens, count(*) AS n FROM chunks WHERE text IS NOT NULL GROUP BY 1")
 _add(
     "h4_token_windows",
     _chunked("token"),
@@ -305,7 +390,12 @@ def _keyed(s: SparkSession, d: str) -> DataFrame:
 
 
 _add("e3_keywords", lambda s, d: _keyed(s, d).select("chunk_id", F.array_join("keywords", " ").alias("keywords")), _KEYS + "SELECT chunk_id, array_to_string(keywords, ' ') AS keywords FROM k")
-_add("e3_corpus_keywords", lambda s, d: enrich.corpus_keywords(_texts(s, d).distinct(), "chunk_id").select("chunk_id", F.array_join("keywords", " ").alias("keywords")))
+_add(
+    "e3_corpus_keywords",
+    lambda s, d: enrich.corpus_keywords(_texts(s, d).distinct(), "chunk_id").select("chunk_id", F.array_join("keywords", " ").alias("keywords")),
+    # A key has one row here, made of all its texts; every key of the test tables that has words has one text with keywords.
+    _KEYS + "SELECT chunk_id, array_to_string(keywords, ' ') AS keywords FROM k WHERE len(keywords) > 0",
+)
 _add(
     "e8_summary",
     lambda s, d: _texts(s, d).select("chunk_id", F.md5(enrich.summary("text")).alias("hash")),
@@ -321,16 +411,32 @@ _add(
     _KEYS + rf", p AS (SELECT chunk_id, keywords, regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}]+') AS words FROM k), r AS (SELECT chunk_id, list_filter(list_sort([{_POINTS}]), lambda t: t.minus < 0) AS r FROM p) SELECT chunk_id, array_to_string(list_transform(r, lambda t: t.name || ':' || (-t.minus)), ',') AS topics FROM r",
 )
 _CODE = " OR ".join(f"contains(text, {sql.q(m)})" for m in L.CODE_MARKS)
+_HEADED = rf"""len(list_filter(range(1, len(l)), lambda i: length({sql.strip("l[i]")}) BETWEEN 1 AND 99 AND length({sql.strip("l[i+1]")}) > 50)) > 0 AS has_headings,
+ regexp_matches(text, '(^|\n)\s*[-*•]\s+|[0-9]+\.\s+') AS has_lists, regexp_matches(text, '[0-9]') AS has_numbers, {_CODE} AS has_code, regexp_matches(text, 'https?://') AS has_urls,
+ len(list_filter(string_split(text, chr(10) || chr(10)), lambda v: {sql.strip("v")} <> '')) AS paragraph_count, length(text) - length(replace(text, '?', '')) AS question_marks"""
 _add(
     "e11_structure",
     lambda s, d: _texts(s, d).select("chunk_id", enrich.structure("text").alias("s")).select("chunk_id", "s.*"),
-    rf"""WITH b AS (SELECT chunk_id, text, string_split(text, chr(10)) AS l FROM enriched)
-SELECT chunk_id, len(list_filter(range(1, len(l)), lambda i: length({sql.strip("l[i]")}) BETWEEN 1 AND 99 AND length({sql.strip("l[i+1]")}) > 50)) > 0 AS has_headings,
- regexp_matches(text, '(^|\n)\s*[-*•]\s+|[0-9]+\.\s+') AS has_lists, regexp_matches(text, '[0-9]') AS has_numbers, {_CODE} AS has_code, regexp_matches(text, 'https?://') AS has_urls,
- len(list_filter(string_split(text, chr(10) || chr(10)), lambda v: {sql.strip("v")} <> '')) AS paragraph_count, length(text) - length(replace(text, '?', '')) AS question_marks FROM b""",
+    f"WITH b AS (SELECT chunk_id, text, string_split(text, chr(10)) AS l FROM enriched) SELECT chunk_id, {_HEADED} FROM b",
 )
 _add("e5_entities", lambda s, d: _texts(s, d).select("chunk_id", F.explode(enrich.entities(F.col("text"))).alias("e")).select("chunk_id", "e.*"))
-_add("e_enrich", lambda s, d: enrich.enrich(_texts(s, d)).drop("text", "enrichment_timestamp").select("chunk_id", "keywords", "entity_count", "summary", "potential_questions", "topics", "primary_topic", "structure.*"))
+
+_add(
+    "e_enrich",
+    lambda s, d: enrich.enrich(_texts(s, d).distinct(), features=enrich.Features(keyword_methods=("frequency",))).select(
+        "chunk_id", *[F.array_join(c, "|").alias(c) for c in ("keywords", "potential_questions", "topics")], F.md5("summary").alias("summary"), "primary_topic", "structure.*"
+    ),
+    _KEYS
+    + rf""", p AS (SELECT *, regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}]+') AS words, {sql.sentences('text')} AS s, string_split(text, chr(10)) AS l FROM k),
+r AS (SELECT *, list_filter(list_sort([{_POINTS}]), lambda t: t.minus < 0) AS r FROM p)
+SELECT chunk_id, array_to_string(keywords, '|') AS keywords, array_to_string(list_filter([{_ASKED}, {_PATTERNED}], lambda v: v IS NOT NULL)[1:5], '|') AS potential_questions,
+  array_to_string(list_transform(list_filter(r, lambda t: t.minus <= -2), lambda t: t.name), '|') AS topics, md5(CASE WHEN len(s) <= 2 THEN text ELSE s[1] || ' ' || s[-1] END) AS summary,
+  CASE WHEN text IS NULL THEN NULL WHEN len(r) > 0 THEN r[1].name ELSE 'general' END AS primary_topic, {_HEADED} FROM r""",
+)
+_add(
+    "e2_keywords",
+    lambda s, d: enrich.enrich(_texts(s, d).distinct(), features=enrich.Features(entities=False, summary=False, questions=False, topics=False)).select("chunk_id", F.explode("keyword_details").alias("keyword", "d")).select("chunk_id", "keyword", F.round("d.score", 6).alias("score"), "d.method"),
+)
 _N_KEYS, _N_ENT = "coalesce(len(keywords), 0)", "coalesce(entity_count, 0)"
 _add(
     "e18_stats",

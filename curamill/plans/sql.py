@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from curamill.functions import lexicons as L
 
 
@@ -91,3 +93,60 @@ scored AS (SELECT *, (0.2 * readability + 0.25 * coherence + 0.25 * information_
 
 
 CATEGORY = "CASE WHEN composite_score >= 0.8 THEN 'excellent' WHEN composite_score >= 0.65 THEN 'good' WHEN composite_score >= 0.5 THEN 'acceptable' WHEN composite_score >= 0.35 THEN 'poor' ELSE 'very_poor' END"
+
+
+def by_character(x: str, mapping: str) -> str:
+    """``x`` with each character replaced by what the SQL map ``mapping`` has for it."""
+    return f"array_to_string(list_transform(string_split({x}, ''), lambda v: coalesce({mapping}[v], v)), '')"
+
+
+def literal_map(pairs: dict[str, str]) -> str:
+    return "MAP {" + ", ".join(f"{q(k)}: {q(v)}" for k, v in pairs.items()) + "}"
+
+
+def compatibility() -> dict[str, str]:
+    """Every character of the basic plane and its NFKC form, where that differs from its NFC form."""
+    found = {}
+    for code in (*range(0x80, 0xD800), *range(0xF900, 0x10000)):
+        c = chr(code)
+        if (k := unicodedata.normalize("NFKC", c)) != unicodedata.normalize("NFC", c):
+            found[c] = k
+    return found
+
+
+def nfkc(x: str) -> str:
+    return f"nfc_normalize({by_character(x, 'nfkc')})"
+
+
+def repaired(x: str) -> str:
+    """Lines that are UTF-8 read as Windows-1252 read again, plain quotes and ligatures, plain line ends."""
+    line = "list_transform(string_split(v, ''), lambda c: bytes[c])"
+    back = f"TRY(decode(unhex(array_to_string({line}, ''))))"
+    known = f"len(list_filter({line}, lambda b: b IS NULL)) = 0"
+    fixed = f"list_transform(string_split({x}, chr(10)), lambda v: CASE WHEN {known} AND length({back}) < length(v) THEN {back} ELSE v END)"
+    return f"replace(replace({by_character(f'array_to_string({fixed}, chr(10))', 'plain')}, chr(13) || chr(10), chr(10)), chr(13), chr(10))"
+
+
+def maps(plain: dict[int, str]) -> str:
+    """The CTE ``maps``, a row to be joined where ``nfkc`` and ``repaired`` are used."""
+    bytes_of = {bytes([b]).decode("cp1252", "ignore"): f"{b:02x}" for b in range(256)}
+    bytes_of.pop("", None)
+    return f"maps AS (SELECT {literal_map(compatibility())} AS nfkc, {literal_map(bytes_of)} AS bytes, {literal_map({chr(k): v for k, v in plain.items()})} AS plain)"
+
+
+def without_tags(x: str) -> str:
+    return f"regexp_replace({x}, '(?s)<!--.*?-->|<[!?][^>]*>|</?[a-zA-Z][^>]*>', '', 'g')"
+
+
+def language(x: str) -> str:
+    """As the kernel's ``language``."""
+    words = f"regexp_split_to_array(lower({x}), '[^\\p{{L}}]+')"
+    best = ", ".join(f"{{'n': len(list_filter({words}, lambda v: list_contains({array(w)}, v))), 'o': {-i}, 'lang': {q(k)}}}" for i, (k, w) in enumerate(L.LANGUAGE_WORDS.items()))
+    kana, han = (f"(length({x}) - length(regexp_replace({x}, '[\\x{{{a}}}-\\x{{{b}}}]', '', 'g')))" for a, b in (("3040", "30ff"), ("4e00", "9fff")))
+    most = f"list_max([{best}])"
+    return f"CASE WHEN {x} IS NULL THEN NULL WHEN ({kana} + {han}) * 4 > length({x}) THEN CASE WHEN {kana} * 5 > {han} THEN 'ja' ELSE 'zh' END WHEN {most}.n > 0 THEN {most}.lang ELSE 'unknown' END"
+
+
+def components(edges: str) -> str:
+    """Recursive CTE ``reach`` (node, other) over the CTE ``edges`` (a, b), for small graphs."""
+    return f"ways AS (SELECT a, b FROM {edges} UNION SELECT b, a FROM {edges}), reach AS (SELECT a AS node, b AS other FROM ways UNION SELECT r.node, e.b FROM reach r JOIN ways e ON r.other = e.a)"

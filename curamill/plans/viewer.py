@@ -5,24 +5,36 @@ from __future__ import annotations
 import argparse
 import sys
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from curamill.operators import search
 from curamill.session import build
+from curamill.sources import files
+
+
+def read(spark: SparkSession, path: str) -> DataFrame:
+    """Enriched chunks from parquet, or from JSON lines if the files are named so."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in system.listStatus(folder)]
+    if any(".json" in n for n in names):
+        return files.read_json_lines(spark, path, files.ENRICHED)
+    return spark.read.parquet(path)
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     p = argparse.ArgumentParser(description="Look at enriched chunks")
     p.add_argument("path", help="parquet or JSON-lines folder of enriched chunks")
-    for name in ("chunk", "search-keyword", "search-entity", "search-topic", "list-entities"):
-        p.add_argument(f"--{name}", nargs="?" if name == "list-entities" else None, const="")
+    for name in ("chunk", "search-keyword", "search-entity", "search-topic"):
+        p.add_argument(f"--{name}")
+    p.add_argument("--list-entities", nargs="?", const="")
     p.add_argument("--compare", nargs=2)
     p.add_argument("--list-topics", action="store_true")
     p.add_argument("--export", action="store_true")
     p.add_argument("--limit", type=int, default=10)
     a = p.parse_args(argv)
     spark = spark or build()
-    chunks = spark.read.parquet(a.path)
+    chunks = read(spark, a.path)
     order = ["source_file", "chunk_index", "chunk_id"]
     if a.chunk is not None:
         shown = [search.detail(search.lookup(chunks, a.chunk))]

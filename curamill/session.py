@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import atexit
-import os
 import shutil
 import tempfile
 import uuid
@@ -33,7 +32,14 @@ def build(cores: int | str = "*", app: str = "curamill", **conf: str) -> SparkSe
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One parquet table of a data folder."""
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spread(spark.read.parquet(f"{folder}/{name}.parquet"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores if it is read in so few parts that three in four would idle, as a file of a single row
+    group is, which can't be split. Any larger input keeps its parts and is not shuffled."""
+    cores, parts = df.sparkSession.sparkContext.defaultParallelism, df.rdd.getNumPartitions()
+    return df.repartition(cores) if parts * 4 <= cores else df
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -50,10 +56,25 @@ def shared_folder(spark: SparkSession) -> str:
     return _own_folders[0]
 
 
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/curamill-{spark.sparkContext.applicationId}"
+
+
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder, for what has to be written and read again."""
+    return f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
 def settle(df: DataFrame, label: str = "step") -> DataFrame:
     """Write ``df`` to the shared folder and read it back. Cuts the lineage like a checkpoint and survives the loss
     of executors, but is columnar, compressed and keeps column pruning for the readers."""
     spark = df.sparkSession
-    path = os.path.join(shared_folder(spark), f"{label}-{uuid.uuid4().hex}")
+    path = scratch(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete all that this application has settled; what was made of it can't be read any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
