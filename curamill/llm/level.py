@@ -34,12 +34,13 @@ OUTPUTS = ("language", "sentence_share", "is_prose", "level_score", "level", "le
 class Grading:
     """``table``: how many of each language's most frequent words every task holds at most; the counts of all others are
     joined, so it decides the cost and not the result. ``penalty`` is the ridge on the coefficients. ``draws``: passages of ``passage`` sentences drawn per
-    level from the graded text. ``least_share``: texts with a smaller share of words in sentences are no prose."""
+    level from the graded text, up to ``easier`` of each from the level below. ``least_share``: texts with a smaller share of words in sentences are no prose."""
 
     table: int = 5000
     penalty: float = 0.02
     draws: int = 60
     passage: int = 4
+    easier: float = 0.4
     least_share: float = 0.8
     least_words: int = 8
     seed: int = 11
@@ -66,14 +67,19 @@ def features(found: Analysis, rarity: dict[str, float], rarest: float) -> list[f
 
 
 def graded_passages(options: Grading) -> list[tuple[str, int, str]]:
-    """(language, level, text) drawn from the graded sentences, the same for the same seed."""
+    """(language, level, text) drawn from the graded sentences, the same for the same seed. Texts of a level hold easier
+    sentences too: up to a share of ``easier`` of each passage comes from the level below."""
     rng = np.random.default_rng(options.seed)
     out = []
     for language, levels in GRADED.items():
         for level, sentences in levels.items():
             for _ in range(options.draws):
-                k = int(rng.integers(2, options.passage + 2))
-                out.append((language, level, " ".join(sentences[i] for i in rng.choice(len(sentences), min(k, len(sentences)), replace=False))))
+                k = min(int(rng.integers(2, options.passage + 2)), len(sentences))
+                below = levels.get(level - 1, [])
+                m = min(int(rng.integers(0, int(k * options.easier) + 1)), len(below))
+                own, plain = rng.choice(len(sentences), k - m, replace=False), rng.choice(max(len(below), 1), m, replace=False)
+                parts = [sentences[i] for i in own] + [below[i] for i in plain]
+                out.append((language, level, " ".join(parts[i] for i in rng.permutation(k))))
     return out
 
 
