@@ -9,7 +9,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from curamill.functions.skew import join_unique
 from curamill.llm.words import WordHasher, gram_hashes, words
+from curamill.session import settle
 
 _SCHEMA = "doc bigint, item bigint, n_words int, doc_word int, item_word int"
 
@@ -80,11 +82,21 @@ def _batch(found: list[tuple[int, int, int, int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), *[pa.array(c, pa.int32()) for c in columns[2:]]], ["doc", "item", "n_words", "doc_word", "item_word"])
 
 
+_held: list = []  # of this Python worker: the items it last saw and their index
+
+
+def _held_index(rows: list[tuple[int, str]], options: Winnow) -> tuple[np.ndarray, list[list[tuple[int, int]]], dict[int, list[str]]]:
+    """The index of a broadcast value, made once a worker and not once a task."""
+    if not _held or _held[0] is not rows or _held[1] != options:
+        _held[:] = [rows, options, _index(rows, options)]
+    return _held[2]
+
+
 def _by_broadcast(documents: DataFrame, items: DataFrame, options: Winnow) -> DataFrame:
     shared = documents.sparkSession.sparkContext.broadcast([(r["item"], r["text"]) for r in items.collect()])  # size was checked
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, places, runs = _index(shared.value, options)
+        keys, places, runs = _held_index(shared.value, options)
         hasher = WordHasher()
         for batch in batches:
             found = []
@@ -120,11 +132,12 @@ def _marks(df: DataFrame, options: Winnow, names: tuple[str, str]) -> DataFrame:
 
 
 def _by_shuffle(documents: DataFrame, items: DataFrame, options: Winnow) -> DataFrame:
-    # Marks that many items share come once per mark on the item side, so the join grows with the documents only.
-    of_items = _marks(items, options, ("item", "mark")).distinct()
-    of_docs = _marks(documents, options, ("doc", "mark")).join(of_items.select("mark").distinct(), "mark", "left_semi")
-    pairs = of_docs.join(of_items, "mark").select("doc", "item").distinct()
-    both = pairs.join(items.select("item", F.col("text").alias("item_text")), "item").join(documents, "doc")
+    # A mark in many documents, and an item or document in many pairs, are hot keys of the left sides.
+    of_items = settle(_marks(items, options, ("item", "mark")).distinct(), "item_marks")
+    of_docs = settle(_marks(documents, options, ("doc", "mark")).join(of_items.select("mark").distinct(), "mark", "left_semi"), "doc_marks")
+    pairs = settle(join_unique(of_docs, of_items, ["mark"], "inner").select("doc", "item").distinct(), "pairs")
+    both = join_unique(pairs, items.select("item", F.col("text").alias("item_text")), ["item"], "inner")
+    both = join_unique(both, documents, ["doc"], "inner")
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()

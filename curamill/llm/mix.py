@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F, Window as W
 
-from curamill.llm.tokens import TOKENIZER, token_count
+from curamill.llm.tokens import token_count
 from curamill.session import settle
 
 #: Hashes have 60 bits; each refinement reads 12 more of them, so a histogram has at most 4096 buckets a source.
@@ -89,9 +89,9 @@ def _thresholds(units: DataFrame, wanted: dict[str, tuple[int, int]]) -> dict[st
     return {s: Threshold(own, n, ends.get(s, 0), s not in ends) for s, (own, n) in passes.items()}
 
 
-def mix(documents: DataFrame, targets: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", total: int | None = None, seed: int = 0, tokenizer: str = TOKENIZER) -> Mixture:
-    """Draw from each source of ``targets`` (source, target_share, max_repeats) its share of ``total`` tokens, which
-    is by default the size of all documents, whether or not their source has a target.
+def mix(documents: DataFrame, targets: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text", source: str = "source", total: int | None = None, seed: int = 0) -> Mixture:
+    """Draw from each source of ``targets`` (source, target_share, max_repeats) its share of ``total`` tokens of the
+    vocabulary file ``tokenizer``, which is by default the size of all documents, whether or not their source has a target.
 
     A source gives every document ``q`` times, ``q`` the whole passes its budget allows, and once more the documents whose
     hash lies under a threshold found by histograms. Thresholds are nested: with a larger budget and the same seed

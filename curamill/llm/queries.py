@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -165,8 +166,12 @@ def p7_items(spark: SparkSession, folder: str) -> DataFrame:
     return items.join(hits, "item_id", "left").na.fill(0, ["n_documents", "longest_run"])
 
 
+#: Where the vocabulary lies on this cluster's machines.
+TOKENIZER = os.environ.get("TOKENIZER_FILE", "/opt/tokenizers/byte_bpe_multi_50k.tiktoken")
+
+
 def _mixture(spark: SparkSession, folder: str) -> mix.Mixture:
-    return mix.mix(table(spark, folder, "documents"), table(spark, folder, "mix_targets"))
+    return mix.mix(table(spark, folder, "documents"), table(spark, folder, "mix_targets"), TOKENIZER)
 
 
 def p8_found(spark: SparkSession, folder: str) -> DataFrame:

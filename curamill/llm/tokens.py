@@ -3,13 +3,11 @@
 from __future__ import annotations
 
 import base64
-import os
 from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, functions as F
 
-TOKENIZER = os.environ.get("TOKENIZER_FILE", "/opt/tokenizers/byte_bpe_multi_50k.tiktoken")
 #: Fixed value: the published pre-tokenization pattern of this family of byte-level vocabularies.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -23,7 +21,7 @@ def _encoding(path: str):
     return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-def token_count(text: str | Column, tokenizer: str = TOKENIZER) -> Column:
+def token_count(text: str | Column, tokenizer: str) -> Column:
     """Number of tokens of a text as BIGINT; null for null, 0 for an empty text. The file at ``tokenizer`` must be
     readable under that path on every executor."""
 

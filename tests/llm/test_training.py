@@ -345,7 +345,7 @@ def test_mixture_keeps_budgets_caps_and_nesting(spark):
     docs = [(i, f"text number {i} " + "word " * (i % 17), ["a", "a", "a", "b", "c"][i % 5]) for i in range(2_000)] + [(5_000, None, "a"), (5_001, "", "b"), (5_002, "alone", None), (3, "text number 3 word word word ", "b")]
     df = spark.createDataFrame(docs, "doc_id long, text string, source string")
     targets = spark.createDataFrame([("a", 0.3, 1), ("b", 0.4, 3), ("c", 0.2, 1), ("none", 0.1, 2)], "source string, target_share double, max_repeats int")
-    found = mix.mix(df, targets)
+    found = mix.mix(df, targets, queries.TOKENIZER)
     report = {r["source"]: r for r in found.report.collect()}
     assert report["none"]["short"] and report["none"]["drawn_tokens"] == 0 and not report["a"]["short"]
     for s in ("a", "b", "c"):
@@ -355,22 +355,22 @@ def test_mixture_keeps_budgets_caps_and_nesting(spark):
         assert r["drawn_tokens"] > min(r["target_tokens"], most) - 60
     assert sum(r["actual_share"] for r in report.values()) == pytest.approx(1)
     drawn = {r["doc_id"]: r["copies"] for r in found.drawn.collect()}
-    more = {r["doc_id"]: r["copies"] for r in mix.mix(df, targets, total=int(report["a"]["target_tokens"] / 0.3 * 1.5)).drawn.collect()}
+    more = {r["doc_id"]: r["copies"] for r in mix.mix(df, targets, queries.TOKENIZER, total=int(report["a"]["target_tokens"] / 0.3 * 1.5)).drawn.collect()}
     assert all(more.get(i, 0) >= c for i, c in drawn.items()) and 5_000 not in drawn and 5_001 not in drawn
-    assert mix.mix(df.limit(0), targets).drawn.count() == 0 == mix.mix(df, targets.limit(0)).drawn.count()
+    assert mix.mix(df.limit(0), targets, queries.TOKENIZER).drawn.count() == 0 == mix.mix(df, targets.limit(0), queries.TOKENIZER).drawn.count()
 
 
 def test_short_sources_are_those_whose_threshold_ran_out(spark, monkeypatch):
     docs = [(i, "same text" if i % 2 else f"text {i}", "a" if i % 4 else "b") for i in range(400)]
     df = spark.createDataFrame(docs, "doc_id long, text string, source string")
     targets = spark.createDataFrame([("a", 0.5, 1), ("b", 0.5, 1)], "source string, target_share double, max_repeats int")
-    report = {r["source"]: r for r in mix.mix(df, targets).report.collect()}
+    report = {r["source"]: r for r in mix.mix(df, targets, queries.TOKENIZER).report.collect()}
     assert report["b"]["short"] and not report["a"]["short"]
     for r in report.values():  # the supply counts what the draw can give
         assert r["short"] == (r["drawn_tokens"] == r["supply_tokens"] * r["max_repeats"] < r["target_tokens"])
     real = mix._thresholds
     monkeypatch.setattr(mix, "_thresholds", lambda *a: {s: mix.Threshold(t.own, t.passes, t.end, s == "a") for s, t in real(*a).items()})
-    assert not {r["source"]: r for r in mix.mix(df, targets).report.collect()}["b"]["short"]
+    assert not {r["source"]: r for r in mix.mix(df, targets, queries.TOKENIZER).report.collect()}["b"]["short"]
 
 
 # ---- 9 sentences --------------------------------------------------------------------------------------------------
