@@ -151,12 +151,20 @@ _add("c12_metrics", _metrics, _METRICS + "SELECT * FROM m")
 _add("c13_stats", lambda s, d: _metrics(s, d).agg(F.count("original_length").alias("n"), F.sum("chars_removed").alias("chars_removed"), F.round(F.avg("cleanup_ratio_percent"), 4).alias("mean_ratio")), _METRICS + "SELECT count(original_length) AS n, sum(chars_removed)::BIGINT AS chars_removed, round(avg(cleanup_ratio_percent), 4) AS mean_ratio FROM m")
 _add("c11_language", lambda s, d: table(s, d, "documents").select("doc_id", X.language("text").alias("found")), f"SELECT doc_id, {sql.language('text')} AS found FROM documents")
 _CHAIN = ["c3_nfkc", "c4_mask_urls", "c4_mask_emails", "c5_page_lines", "c6_hyphens", "c7_bullets", "c7_numbered", "c8_punctuation", "c9_repeated_lines", "c10_whitespace"]
+
+
+def _cleaning_sql(source: str, key: str) -> str:
+    """CTEs ending in ``cleaned``: ``key``, ``text`` and, as ``x``, the cleaned text of ``source``."""
+    steps = [f"s0 AS (SELECT {key}, text, {sql.repaired('text')} AS x FROM {source}, maps)", f"s1 AS (SELECT {key}, text, CASE WHEN contains(x, '<') AND contains(x, '>') THEN {sql.without_tags('x')} ELSE x END AS x FROM s0)"]
+    for i, name in enumerate(_CHAIN, 2):
+        steps.append(f"s{i} AS MATERIALIZED (SELECT {key}, text, {_ORACLES[name]} AS x FROM s{i - 1}{', maps' if name == 'c3_nfkc' else ''})")
+    return _MAPS + ", ".join([*steps, f"cleaned AS (SELECT * FROM s{len(_CHAIN) + 1})"])
+
+
 _add(
     "c_clean",
     lambda s, d: clean.clean(table(s, d, "processed").select("filename", "text")).select("filename", "status", "detected_language", "cleaned_length", "chars_removed", F.md5("cleaned_text").alias("hash")),
-    f"WITH {_MAPS}s0 AS (SELECT filename, text, {sql.repaired('text')} AS x FROM processed, maps), s1 AS (SELECT filename, text, CASE WHEN contains(x, '<') AND contains(x, '>') THEN {sql.without_tags('x')} ELSE x END AS x FROM s0), "
-    + ", ".join(f"s{i} AS MATERIALIZED (SELECT filename, text, {_ORACLES[n]} AS x FROM s{i - 1}{', maps' if n == 'c3_nfkc' else ''})" for i, n in enumerate(_CHAIN, 2))
-    + f" SELECT filename, CASE WHEN text IS NULL THEN 'failed' ELSE 'success' END AS status, {sql.language('x')} AS detected_language, length(x) AS cleaned_length, length(text) - length(x) AS chars_removed, md5(x) AS hash FROM s{len(_CHAIN) + 1}",
+    f"WITH {_cleaning_sql('processed', 'filename')} SELECT filename, CASE WHEN text IS NULL THEN 'failed' ELSE 'success' END AS status, {sql.language('x')} AS detected_language, length(x) AS cleaned_length, length(text) - length(x) AS chars_removed, md5(x) AS hash FROM cleaned",
 )
 
 # ---- quality ------------------------------------------------------------------------------------------------------
@@ -495,4 +503,18 @@ _add(
 
 # ---- orchestration ------------------------------------------------------------------------------------------------
 
-_add("o3_funnel", lambda s, d: pipeline.funnel(table(s, d, "processed").dropDuplicates(["filename"])))
+_QUALITY = sql.quality("(SELECT doc_id, x AS text FROM cleaned)", "doc_id").strip().removeprefix("WITH ")
+_ALIKE = _FUZZY.replace("FROM documents WHERE text IS NOT NULL", "FROM passing")
+_add(
+    "o3_funnel",
+    lambda s, d: pipeline.funnel(table(s, d, "documents"), pipeline.Config(chunking=chunk.Chunking(strategy="token")), key="doc_id"),
+    rf"""WITH RECURSIVE valid AS (SELECT doc_id, text FROM documents WHERE text IS NOT NULL AND {sql.strip('text')} <> ''), {_cleaning_sql('valid', 'doc_id')}, {_QUALITY},
+passing AS (SELECT doc_id, x AS text, composite_score AS score FROM cleaned JOIN scored USING (doc_id) WHERE composite_score >= 0.5), {_ALIKE},
+h AS (SELECT doc_id, {_HASH} AS hash FROM passing), x AS (SELECT hash, min(doc_id) AS first FROM h GROUP BY hash),
+edges AS (SELECT a, b FROM p WHERE k / (n + m - k) >= 0.8 UNION SELECT r.a, s.doc_id FROM s JOIN r USING (g) WHERE s.doc_id <> r.a UNION SELECT first, doc_id FROM h JOIN x USING (hash) WHERE doc_id <> first),
+{sql.components("edges")}, c0 AS (SELECT node, least(node, min(other)) AS component FROM reach GROUP BY node),
+g0 AS (SELECT doc_id, text, row_number() OVER (PARTITION BY coalesce(component, doc_id) ORDER BY score DESC, doc_id) AS place FROM passing LEFT JOIN c0 ON doc_id = node),
+t0 AS (SELECT len(regexp_extract_all(text, '\s*(?:[\p{{L}}\p{{N}}]+|[^\p{{L}}\p{{N}}\s])')) AS n FROM g0 WHERE place = 1),
+z AS (SELECT (SELECT count(*) FROM valid) AS n_valid, (SELECT count(*) FROM passing) AS n_passing, (SELECT count(*) FROM t0) AS n_kept, (SELECT sum(greatest(n - 51, 0) // 462 + 1)::BIGINT FROM t0 WHERE n > 0) AS n_chunks)
+SELECT unnest([0, 1, 2, 3, 4, 5]) AS stage_no, unnest({sql.array(list(pipeline.STAGES))}) AS stage, unnest([n_valid, n_valid, n_passing, n_kept, n_chunks, n_chunks]) AS n_rows FROM z""",
+)
