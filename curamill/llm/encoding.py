@@ -41,6 +41,7 @@ CHAINS = (
 )
 TWICE = (("utf-8", "1252"), ("utf-8", "latin-1"))
 LOST = "1252>utf-8"
+_SINGLE = frozenset({"1252", "cp437", "cp850", "mac_roman", "cp1251"})
 #: Clean text in many scripts, for the classes a sample of the corpus may lack.
 CLEAN = (
     "Señor, ¿más té? ½ ración de jamón con piñones y café. Mañana habrá más; ¡qué ilusión! El niño comió paella en Málaga.",
@@ -172,6 +173,21 @@ def _suspicious(line: str) -> bool:
     return bool(_MIXED.search(line)) or bool(_RUN.search(line)) or any(invert(line, f"{w}>{r}") for w, r in CHAINS[:9])
 
 
+def _wordlike(line: str, back: str, chain: str) -> bool:
+    """Whether what came out is words: enough letters among all characters. Single bytes always decode, so that is all
+    there is to go by for them. Where several bytes make a character, letters enough among those beyond ASCII will do
+    too, as in lists of figures, but there must be new ones, and more of them in a line with as many different marks as
+    scan noise has."""
+    solid = [c for c in back if not c.isspace()]
+    high = [c for c in solid if c > "\x7f"]
+    single = chain.split(">")[0] in _SINGLE
+    if not any(sum(map(str.isalpha, x)) >= 0.4 * len(x) for x in ([solid] if single else [solid, high])):
+        return False
+    fresh = sum(c.isalpha() and c not in line for c in back)
+    marks = {c for c in back if "!" <= c <= "~" and not c.isalnum()}
+    return single or fresh >= (4 if len(marks) > 4 else 2)
+
+
 @dataclass
 class Finding:
     chain: str
@@ -206,11 +222,13 @@ def examine(line: str, scores: np.ndarray, model: Classifier) -> Finding | None:
             if mark:
                 continue  # the mark was only read differently
             whole = False
-        if not chain.startswith("utf-8") and sum(map(str.isalpha, back)) < 0.4 * len(back.replace(" ", "")):
-            continue  # scan noise: one-byte chains always decode, so what comes out must at least be words
+        if not chain.startswith("utf-8") and not _wordlike(line, back, chain):
+            continue  # scan noise: what comes out must at least be words
         if back.isascii():
             return Finding(chain, back, whole)
-        if model.likelihood(back) < before + model.PRIOR:
+        proven = whole and chain.startswith("utf-8")  # sequences of several bytes that hold throughout are no accident
+        gain = model.likelihood(back) - before
+        if gain < (0.0 if proven else model.PRIOR):
             continue
         after = model.scores([back])[0]
         if after.argmax() == 0:
@@ -220,6 +238,8 @@ def examine(line: str, scores: np.ndarray, model: Classifier) -> Finding | None:
             return Finding(f"{further.chain} {chain}", further.restored, whole and further.whole)
         if further is not None or not whole:  # some of it came back
             return Finding(chain, back, False)
+        if proven:
+            return Finding(chain, back, True)
     return Finding(LOST, None, False) if "�" in line else lost
 
 

@@ -250,6 +250,15 @@ def test_a_misread_replacement_character_is_garbled(reader):
     assert encoding.repair_text("The café is open, ½ price.", model) is None
 
 
+@pytest.mark.parametrize("line", ["71053;午餐菜单;2;16.12", "| 5 | 部屋の鍵 | 99.55 |", "2024-07-10 21:34 收银 55"])
+def test_lists_of_figures_are_restored(spark, line):
+    chain = "cp932>1252" if "の" in line else "gb18030>1252"
+    texts = [*encoding.CLEAN, line, encoding.garble(line, chain), ".l<;§°|I _+,-^~`=", "税 37.57", encoding.garble("税 37.57", "utf-8>1252")]
+    got = {r["text"]: r for r in encoding.repair_encoding(rows(spark, texts)).collect()}
+    assert got[texts[-4]]["restored_text"] == line and got[texts[-1]]["restored_text"] == "税 37.57"
+    assert not got[line]["garbled"] and not got[texts[-3]]["garbled"] and not got["税 37.57"]["garbled"]
+
+
 # ---- 6 near duplicates --------------------------------------------------------------------------------------------
 
 
