@@ -75,6 +75,18 @@ def language_of(text: str, words: list[str]) -> str:
     return best if votes[best] > 0 else "und"
 
 
+def _runs_on(span: str) -> bool:
+    """Whether short lines are a sentence wrapped in a narrow column: most breaks stand inside a phrase, after a word or
+    comma and before a small letter, or after a common word, and common words are as frequent before the last line as in prose."""
+    lines = [x for x in map(str.strip, span.split("\n")) if x]
+    inside = 0
+    for line, following in zip(lines, lines[1:]):
+        last = line.rpartition(" ")[2].lower()
+        inside += last in ANY_COMMON or (line[-1].isalpha() or line[-1] == ",") and following[0].islower()
+    words = find_words(" ".join(lines[:-1]).lower())
+    return inside * 2 >= len(lines) - 1 and sum(w in ANY_COMMON for w in words) >= 0.2 * len(words)
+
+
 def _reads_like_sentence(span: str, words: list[str], ended: bool) -> bool:
     n = len(words)
     numbers = sum(w[0].isdigit() for w in words)
@@ -94,7 +106,7 @@ def _reads_like_sentence(span: str, words: list[str], ended: bool) -> bool:
     if not ended or n < 3 or letters < 0.6 * solid or numbers > 0.4 * n:
         return False
     breaks = span.count("\n")
-    if breaks > 1 and n < 3 * (breaks + 1) and letters < 20 * (breaks + 1):
+    if breaks > 1 and n < 3 * (breaks + 1) and letters < 20 * (breaks + 1) and not _runs_on(span):
         return False
     return sum(w.lower() in ANY_COMMON for w in words) >= max(1, 0.08 * n)
 
