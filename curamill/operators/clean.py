@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import codecs
 import html
 import unicodedata
 from dataclasses import dataclass
@@ -43,13 +44,22 @@ def html_to_text(value: str) -> str:
     return "".join(parser.parts)
 
 
+#: Windows-1252 with its five unassigned bytes kept as control characters, as most software reads it.
+WINDOWS = "".join(bytes([b]).decode("cp1252", "ignore") or chr(b) for b in range(256))
+_BYTES = codecs.charmap_build(WINDOWS)
+
+
 def _round_trip(value: str) -> str:
-    """UTF-8 that was read as Windows-1252, read again rightly, if all of it decodes and it gets shorter."""
-    try:
-        back = value.encode("cp1252").decode("utf-8")
-    except UnicodeError:
-        return value
-    return back if len(back) < len(value) else value
+    """UTF-8 that was read as Windows-1252, once or several times over, read again rightly, as long as all of it decodes
+    and it gets shorter."""
+    while True:
+        try:
+            back = codecs.charmap_encode(value, "strict", _BYTES)[0].decode("utf-8")
+        except UnicodeError:
+            return value
+        if len(back) >= len(value):
+            return value
+        value = back
 
 
 #: Typographic characters and what plain text writes for them.

@@ -118,7 +118,7 @@ def _step(name: str, make: Callable[[Column], Column], oracle: str, ctes: str =
 
 
 _LINES = "string_split(x, chr(10))"
-_MAPS = sql.maps(clean.PLAIN) + ", "
+_MAPS = sql.maps(clean.PLAIN, clean.WINDOWS) + ", "
 _step("c1_repair", clean.repaired, sql.repaired("x"), _MAPS)
 _step("c2_html_text", lambda x: clean.html_text(F.concat(F.lit("<p>a<b>b</b><!-- c --></p>"), x)), sql.without_tags("'<p>a<b>b</b><!-- c --></p>' || x"))
 _step("c3_nfkc", clean.nfkc, sql.nfkc("x"), _MAPS)

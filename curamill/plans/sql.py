@@ -119,18 +119,19 @@ def nfkc(x: str) -> str:
 
 
 def repaired(x: str) -> str:
-    """Lines that are UTF-8 read as Windows-1252 read again, plain quotes and ligatures, plain line ends."""
+    """Lines that are UTF-8 read as Windows-1252, up to three times over, read again, plain quotes and ligatures, plain line ends."""
     line = "list_transform(string_split(v, ''), lambda c: bytes[c])"
     back = f"TRY(decode(unhex(array_to_string({line}, ''))))"
     known = f"len(list_filter({line}, lambda b: b IS NULL)) = 0"
-    fixed = f"list_transform(string_split({x}, chr(10)), lambda v: CASE WHEN {known} AND length({back}) < length(v) THEN {back} ELSE v END)"
+    fixed = f"string_split({x}, chr(10))"
+    for _ in range(3):
+        fixed = f"list_transform({fixed}, lambda v: CASE WHEN {known} AND length({back}) < length(v) THEN {back} ELSE v END)"
     return f"replace(replace({by_character(f'array_to_string({fixed}, chr(10))', 'plain')}, chr(13) || chr(10), chr(10)), chr(13), chr(10))"
 
 
-def maps(plain: dict[int, str]) -> str:
+def maps(plain: dict[int, str], windows: str) -> str:
     """The CTE ``maps``, a row to be joined where ``nfkc`` and ``repaired`` are used."""
-    bytes_of = {bytes([b]).decode("cp1252", "ignore"): f"{b:02x}" for b in range(256)}
-    bytes_of.pop("", None)
+    bytes_of = {c: f"{b:02x}" for b, c in enumerate(windows) if b}
     return f"maps AS (SELECT {literal_map(compatibility())} AS nfkc, {literal_map(bytes_of)} AS bytes, {literal_map({chr(k): v for k, v in plain.items()})} AS plain)"
 
 

@@ -237,6 +237,13 @@ def test_sql_functions(spark):
     assert spark.sql("SELECT * FROM cm_split('hello')").first()["chunk_text"] == "hello"
 
 
+def test_repair_undoes_repeated_damage():
+    whole = "“Crème brûlée” à 5 €"
+    twice = "".join(clean.WINDOWS[b] for b in "".join(clean.WINDOWS[b] for b in whole.encode()).encode())
+    assert clean.repair(twice) == clean.repair(whole) == '"Crème brûlée" à 5 €' and clean.repair("Ã\x81GIL") == "ÁGIL"
+    assert clean.repair("a &amp; b") == "a & b" and clean.repair("<i>&amp;") == "<i>&amp;"
+
+
 GOOD = "The town library moved its books to a nearby school. The mayor thanked every helper warmly. Many visitors came to see the new rooms. " * 6
 
 
