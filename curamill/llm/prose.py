@@ -68,8 +68,8 @@ def language_of(text: str, words: list[str]) -> str:
                 return "ja"
             return best
     votes = dict.fromkeys(COMMON, 0)
-    for w in words:
-        for lang in _OF.get(w, ()):
+    for w in filter(ANY_COMMON.__contains__, words):
+        for lang in _OF[w]:
             votes[lang] += 1
     best = max(votes, key=votes.get)
     return best if votes[best] > 0 else "und"
@@ -88,17 +88,19 @@ def _runs_on(span: str) -> bool:
 
 
 def _reads_like_sentence(span: str, words: list[str], ended: bool) -> bool:
+    foreign = not span.isascii() and _FOREIGN.search(span) is not None
+    if not ended and not foreign:
+        return False
     n = len(words)
-    numbers = sum(w[0].isdigit() for w in words)
-    letters = sum(len(w) for w in words if not w[0].isdigit())
+    solid_words = [w for w in words if not w[0].isdigit()]
+    numbers, letters = n - len(solid_words), sum(map(len, solid_words))
     if letters < 3:
         return False
     solid = len(span) - span.count(" ") - span.count("\n")
-    if not span.isascii():
-        foreign = _FOREIGN.search(span) is not None
-        if foreign and _CJK.search(span):
+    if foreign:
+        if _CJK.search(span):
             return letters >= 0.35 * solid and (ended or (letters >= 5 and not _LIST_MARK.search(span) and _CJK_GRAMMAR.search(span) is not None))
-        if foreign and letters >= 0.6 * solid:
+        if letters >= 0.6 * solid:
             if _THAI.search(span):
                 return letters >= 12
             if _OTHER.search(span):
