@@ -46,8 +46,8 @@ class Grading:
     seed: int = 11
 
 
-def features(found: Analysis, rarity: dict[str, float], rarest: float) -> list[float]:
-    """Of the words in sentences only. Word order matters for none but ``diversity``, which is taken over stretches
+def features(found: Analysis, rarity: dict[str, float] | None, rarest: float = 0.0) -> list[float]:
+    """Of the words in sentences only; without ``rarity`` its place is left 0. Word order matters for none but ``diversity``, which is taken over stretches
     of 40 words so that it doesn't fall with length."""
     marks = _CONNECTIVES[found.language]
     lower = [[w.lower() for w in s] for s in found.sentences]
@@ -60,7 +60,7 @@ def features(found: Analysis, rarity: dict[str, float], rarest: float) -> list[f
         math.log(sum(letters) / len(letters)),
         sum(x >= 10 for x in letters) / len(letters),
         sum(len(set(s)) / len(s) ** 0.8 for s in stretches) / len(stretches),
-        sum(rarity.get(w, rarest) for w in words if not w[0].isdigit()) / len(letters),
+        sum(rarity.get(w, rarest) for w in words if not w[0].isdigit()) / len(letters) if rarity is not None else 0.0,
         sum(w in marks for w in words) / m,
         sum(s.count(",") + s.count(";") + s.count(":") for s in found.spans) / m,
     ]
@@ -223,8 +223,8 @@ def fit(rarity: dict[str, tuple[dict[str, float], float]], options: Grading = Gr
     return OrdinalModel(options.penalty).fit(languages, np.array(x), np.array(y))
 
 
-def grade_texts(df: DataFrame, text: str = "text", options: Grading = Grading()) -> DataFrame:
-    """The input's columns and ``language``, ``sentence_share``, ``is_prose``, ``level_score`` (expected level, 1 to
+def grade_texts(df: DataFrame, text: str = "text", options: Grading = Grading(), keep_text: bool = True) -> DataFrame:
+    """The input's columns (without the text itself unless ``keep_text``) and ``language``, ``sentence_share``, ``is_prose``, ``level_score`` (expected level, 1 to
     4), ``level`` and ``level_name``.
 
     A level is given to texts in en, fr, de or es with at least ``least_words`` words in sentences, measured on those
@@ -261,7 +261,7 @@ def grade_texts(df: DataFrame, text: str = "text", options: Grading = Grading())
                             far[w] += 1
                         else:
                             near += own
-                row |= {"x": features(found, {}, 0.0), "near": near, "letters": max(n, 1), "far": [{"word": w, "times": k} for w, k in far.items()]}
+                row |= {"x": features(found, None), "near": near, "letters": max(n, 1), "far": [{"word": w, "times": k} for w, k in far.items()]}
             rows.append(row)
         return pa.array(rows, kinds)
 
@@ -277,8 +277,8 @@ def grade_texts(df: DataFrame, text: str = "text", options: Grading = Grading())
             rows.append({"level_score": round(model.score(language, own), 4), "level": model.level(language, own)})
         return pa.array(rows, pa.struct([("level_score", pa.float64()), ("level", pa.int32())]))
 
-    columns = df.columns
-    measured = settle(df.withColumn("__row", F.monotonically_increasing_id()).withColumn("__g", measure(text)), "measured")
+    columns = [c for c in df.columns if keep_text or c != text]
+    measured = settle(df.select(*columns, F.monotonically_increasing_id().alias("__row"), measure(text).alias("__g")), "measured")
     far = measured.select("__row", F.col("__g.language").alias("language"), F.explode("__g.far").alias("w")).select("__row", "language", "w.*")
     rarest = F.create_map(*[F.lit(x) for pair in rarity.rarest.items() for x in pair])[F.col("language")]
     sums = far.join(rarity.words, ["language", "word"], "left").groupBy("__row").agg(F.sum(F.col("times") * F.coalesce("rarity", rarest)).alias("__far"))

@@ -59,7 +59,7 @@ def p2_figures(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _graded(spark: SparkSession, folder: str) -> DataFrame:
-    return level.grade_texts(table(spark, folder, "cleaned").select("output_file", "text"))
+    return level.grade_texts(table(spark, folder, "cleaned").select("output_file", "text"), keep_text=False)
 
 
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -69,7 +69,7 @@ def p3_found(spark: SparkSession, folder: str) -> DataFrame:
 
 def p3_levels(spark: SparkSession, folder: str) -> DataFrame:
     """A level for every file."""
-    return _graded(spark, folder).drop("text")
+    return _graded(spark, folder)
 
 
 #: Columns of a quality record that are voted on.
