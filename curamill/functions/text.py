@@ -2,20 +2,29 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
-from pyspark.sql import Column, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, functions as F, types as T
 
 from curamill.functions import lexicons as L
 
 
+#: The characters of ``lexicons.BLANK``.
+BLANKS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+_LETTERS = re.compile(r"[^\W\d_]+")
+_OF_WORD = {w: [v for v, listed in L.LANGUAGE_WORDS.items() if w in listed] for listed in L.LANGUAGE_WORDS.values() for w in listed}
+_KANA, _HAN = re.compile("[\u3040-\u30ff]"), re.compile("[\u4e00-\u9fff]")
+
+
 def _c(x: str | Column) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
 def strip(x: str | Column) -> Column:
     """Without blanks at both ends, as Python strips them."""
-    return F.regexp_replace(_c(x), f"^{L.BLANK}+|{L.BLANK}+$", "")
+    return F.btrim(_c(x), F.lit(BLANKS))
 
 
 def fields(x: str | Column) -> Column:
@@ -101,13 +110,28 @@ def clamp(x: Column, lo: float = 0.0, hi: float = 1.0) -> Column:
     return F.greatest(F.lit(lo), F.least(F.lit(hi), x))
 
 
+def language_of(text: str) -> str:
+    """The language of one text."""
+    if not text.isascii():
+        kana, han = len(_KANA.findall(text)), len(_HAN.findall(text))
+        if (kana + han) * 4 > len(text):
+            return "ja" if kana * 5 > han else "zh"
+    counts = dict.fromkeys(L.LANGUAGE_WORDS, 0)
+    for word in _LETTERS.findall(text.lower()):
+        # Numerals beyond the digits stand between letters, too; they part words.
+        for w in (word,) if word in _OF_WORD or word.isalpha() else "".join(c if c.isalpha() else " " for c in word).split():
+            for v in _OF_WORD.get(w, ()):
+                counts[v] += 1
+    best = max(counts, key=counts.get)
+    return best if counts[best] else "unknown"
+
+
+@F.arrow_udf(T.StringType())
+def _languages(texts: pa.Array) -> pa.Array:
+    return pa.array([None if t is None else language_of(t) for t in texts.to_pylist()], pa.string())
+
+
 def language(x: str | Column) -> Column:
     """en, fr, de or es by its function words, ja or zh by script, ``unknown`` otherwise. Of equal counts the first
     in that order wins."""
-    c = _c(x)
-    low = F.lower(c)
-    # Counted by patterns: generated code calls them, where a fold over the words would be interpreted.
-    counts = [F.regexp_count(low, F.lit(rf"(?<!\p{{L}})(?:{'|'.join(words)})(?!\p{{L}})")) for words in L.LANGUAGE_WORDS.values()]
-    most = F.array_max(F.array(*[F.struct(n.alias("n"), F.lit(-i).alias("o"), F.lit(k).alias("lang")) for i, (k, n) in enumerate(zip(L.LANGUAGE_WORDS, counts))]))
-    kana, han = F.length(c) - F.length(F.regexp_replace(c, r"[\x{3040}-\x{30ff}]", "")), F.length(c) - F.length(F.regexp_replace(c, r"[\x{4e00}-\x{9fff}]", ""))
-    return F.when(c.isNull(), None).when((kana + han) * 4 > F.length(c), F.when(kana * 5 > han, "ja").otherwise("zh")).when(most["n"] > 0, most["lang"]).otherwise("unknown")
+    return _languages(_c(x))

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from curamill.functions import lexicons as L, text as X
-from curamill.functions.columns import make_room
+from curamill.functions.columns import fenced, make_room
 
 OUTPUTS = ("cleaned_text", "extracted_urls", "extracted_emails", "detected_language", "original_length", "cleaned_length", "chars_removed", "cleanup_ratio_percent", "compression_ratio", "original_lines", "cleaned_lines", "status")
 
@@ -179,16 +179,16 @@ def clean(df: DataFrame, text: str = "text", options: Cleaning = Cleaning()) ->
     """Adds the cleaned text, what was extracted, the language and the metrics. Null texts stay null with status
     ``failed``; clashing input columns come out as ``<name>_input``."""
     df = make_room(df, OUTPUTS, keep=[text])
-    step = df.withColumn("__p", _prepared(F.col(text)))
+    step = fenced(df, __p=_prepared(F.col(text)))
     p = F.col("__p")
     step = step.withColumn("extracted_urls", urls(p)).withColumn("__u", p if options.keep_urls else mask_urls(p))
     u = F.col("__u")
     step = step.withColumn("extracted_emails", emails(u)).withColumn("__e", u if options.keep_emails else mask_emails(u))
     steps = [drop_page_lines, *([] if options.compat else [join_hyphens]), bullets, *([] if options.compat else [numbered]), lambda c: punctuation(c, options.compat), drop_repeated_lines, whitespace]
-    step = step.withColumn("cleaned_text", F.col("__e"))
+    cleaned = F.col("__e")
     for one in steps:
-        step = step.withColumn("cleaned_text", one(F.col("cleaned_text")))
-    step = step.drop("__p", "__u", "__e")
+        cleaned = one(cleaned)
+    step = fenced(step, cleaned_text=cleaned).drop("__p", "__u", "__e")
     return step.select("*", X.language("cleaned_text").alias("detected_language"), *metrics(F.col(text), F.col("cleaned_text")), F.when(F.col(text).isNull(), "failed").otherwise("success").alias("status"))
 
 

@@ -26,9 +26,11 @@ def by_frequency(text: str, n: int = 5) -> list[tuple[str, float]]:
 
 
 def _near(a: str, b: str) -> float:
-    """1 minus the edit distance in shares of the longer string."""
+    """1 minus the edit distance in shares of the longer string; 0 for lengths that alone put it under a half."""
     if a == b:
         return 1.0
+    if 2 * min(len(a), len(b)) < max(len(a), len(b)):
+        return 0.0
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
         left, row[0] = row[0], i
@@ -125,7 +127,7 @@ def by_statistics(text: str, n: int = 5, longest: int = 3, alike: float = 0.9) -
     for weight, phrase in sorted(ranked):
         if len(kept) == n:
             break
-        if all(_near(phrase, other) <= alike for _, other in kept):
+        if all(min(len(phrase), len(other)) <= alike * max(len(phrase), len(other)) or _near(phrase, other) <= alike for _, other in kept):
             kept.append((weight, phrase))
     return [(phrase, 1 - weight) for weight, phrase in kept]
 
