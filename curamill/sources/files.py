@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from curamill.operators.clean import html_to_text
 from curamill.sources.charset import decode_bytes
+from curamill.sources.pdf import read_pages
 
 SUPPORTED = ("txt", "md", "html", "pdf", "docx")
 #: Columns of enriched chunks, as JSON lines hold them.
@@ -35,13 +36,9 @@ def read_docx(data: bytes) -> tuple[str, int]:
 
 
 def read_pdf(data: bytes) -> tuple[str, int]:
-    """Pages joined by blank lines. Needs a PDF library, which is not part of this engine's requirements."""
-    try:
-        from pypdf import PdfReader
-    except ImportError as e:
-        raise RuntimeError("unsupported: no PDF reader is installed") from e
-    pages = PdfReader(io.BytesIO(data)).pages
-    return "".join((p.extract_text() or "") + "\n\n" for p in pages), len(pages)
+    """Pages, each with a blank line behind it, and their number."""
+    pages = read_pages(data)
+    return "".join(p + "\n\n" for p in pages), len(pages)
 
 
 def extract(kind: str, data: bytes) -> dict:

@@ -5,12 +5,14 @@ import itertools
 import json
 import re
 import zipfile
+import zlib
 from pathlib import Path
 from types import SimpleNamespace
 
 import duckdb
 import numpy as np
 import pytest
+from hypothesis import given, strategies as st
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
@@ -22,7 +24,7 @@ from curamill.functions.skew import join_unique
 from curamill.operators import chunk, clean, dedup, enrich, ingest, keywords, quality, search
 from curamill.operators.components import connected_components
 from curamill.plans import catalogue, pipeline, viewer
-from curamill.sources import charset, files, sinks
+from curamill.sources import charset, files, pdf, sinks
 from curamill.streaming import curate
 
 EDGE = ["", " ", " x ", "a.b", "a ,b !!", "...", "A\nA\nB\nA", "\n\n", "x \nx", "\x1cfs\x1f", "Page 3 of 9\n12\ntext 12 text", "Ünïcode Straße ÉCOLE", "日本語。", "a_b-c", "x" * 5000, "no. 5 is 3.14 ok? Yes! (see p. 2)"]
@@ -219,6 +221,54 @@ def test_files_in_every_format(spark, tmp_path):
     assert got["d.xyz"]["text"] is None and got["f.docx"]["error_message"]
 
 
+def a_pdf(contents, packed=False, font=b"<< /Type /Font /Subtype /Type1 /Encoding /WinAnsiEncoding >>", extra=b""):
+    pages = [f"<< /Type /Page /Parent 2 0 R /Contents {10 + i} 0 R >>".encode() for i in range(len(contents))]
+    kids = b" ".join(f"{20 + i} 0 R".encode() for i in range(len(contents)))
+    plain = {1: b"<< /Type /Catalog /Pages 2 0 R >>", 2: b"<< /Type /Pages /Kids [" + kids + b"] /Resources << /Font << /F1 3 0 R >> >> >>", 3: font, **{20 + i: p for i, p in enumerate(pages)}}
+    out = b"%PDF-1.5\n"
+    if packed:
+        head, body = b"", b""
+        for n, v in plain.items():
+            head, body = head + f"{n} {len(body)} ".encode(), body + v + b" "
+        data = zlib.compress(head + body)
+        out += f"90 0 obj << /Type /ObjStm /N {len(plain)} /First {len(head)} /Filter /FlateDecode /Length {len(data)} >> stream\n".encode() + data + b"\nendstream endobj\n"
+    else:
+        out += b"".join(f"{n} 0 obj ".encode() + v + b" endobj\n" for n, v in plain.items())
+    for i, c in enumerate(contents):
+        data = zlib.compress(c)
+        out += f"{10 + i} 0 obj << /Filter [/FlateDecode] /Length {len(data)} >>\nstream\r\n".encode() + data + b"\nendstream\nendobj\n"
+    return out + extra + b"trailer << /Root 1 0 R >>\n%%EOF"
+
+
+@pytest.mark.parametrize("packed", [False, True])
+def test_pdf_pages(packed):
+    first = b"BT /F1 12 Tf 72 700 Td (Caf\\351 \\(two\\)) Tj 0 -14 Td [(Wo) -20 (rld) -400 (again)] TJ T* <48C9> Tj ET"
+    assert pdf.read_pages(a_pdf([first, b"BT /F1 9 Tf 1 0 0 1 72 700 Tm (a) Tj 1 0 0 1 90 700 Tm (b) Tj 1 0 0 1 72 680 Tm (c) ' ET", b"q Q"], packed)) == ["Café (two)\nWorld again\nHÉ", "a b\nc", ""]
+
+
+def test_pdf_code_maps_and_failures(spark, tmp_path):
+    cmap = b"2 beginbfchar <0001> <65E5> <0002> <672C> endbfchar 1 beginbfrange <0010> <0012> <0041> endbfrange"
+    wide = b"<< /Type /Font /Subtype /Type0 /ToUnicode 50 0 R >>"
+    body = a_pdf([b"BT /F1 9 Tf <00010002001000110012> Tj ET"], font=wide, extra=b"50 0 obj << /Length 3 >> stream\n" + cmap + b"\nendstream endobj\n")
+    assert pdf.read_pages(body) == ["日本ABC"]
+    named = b"<< /Type /Font /Subtype /Type1 /Encoding << /Differences [65 /eacute /uni20AC /fi] >> >>"
+    assert pdf.read_pages(a_pdf([b"BT /F1 9 Tf (ABCD) Tj ET"], font=named)) == ["é€fiD"]
+    (tmp_path / "a.pdf").write_bytes(body)
+    (tmp_path / "b.pdf").write_bytes(b"no")
+    (tmp_path / "c.pdf").write_bytes(body.replace(b"/Root", b"/Encrypt 9 0 R /Root"))
+    got = {r["filename"]: r for r in files.scan_folder(spark, str(tmp_path)).collect()}
+    assert (got["a.pdf"]["text"], got["a.pdf"]["page_count"], got["a.pdf"]["error_message"]) == ("日本ABC\n\n", 1, None)
+    assert got["b.pdf"]["error_message"] == "not a PDF file" and got["c.pdf"]["error_message"] == "encrypted PDF"
+
+
+@given(st.binary(max_size=300))
+def test_pdf_reader_ends_on_any_bytes(data):
+    try:
+        pdf.read_pages(b"%PDF-1.4\n1 0 obj << /Type /Catalog /Pages 2 0 R >> endobj 2 0 obj << /Kids [3 0 R 2 0 R] >> endobj 3 0 obj << /Type /Page /Contents 4 0 R >> endobj 4 0 obj << >> stream\n" + data + b"\nendstream endobj " + data)
+    except ValueError:
+        pass
+
+
 def test_sinks(spark, tmp_path):
     df = spark.createDataFrame([("a", 1.0, True, ["x"]), ("b", None, False, None)], "name string, v double, ok boolean, l array<string>")
     sinks.write_routed(df, str(tmp_path / "r"), "ok")
