@@ -153,6 +153,17 @@ def write(done: Run, folder: str) -> None:
                 sinks.write_csv_report(report, f"{place}/{title}")
 
 
+def summary(done: Run) -> list[str]:
+    """A line per stage, and below it the stage's one-row statistics."""
+    lines = []
+    for r in done.report:
+        lines.append(f"{r['stage']}: {r['status']}, {r['seconds']} s, rows {r['rows']}, rejected {r['rejected']}" + (f", {r['error']}" if "error" in r else ""))
+        stats = done.stages[r["stage"]].reports.get("stats") if r["stage"] in done.stages else None
+        if stats is not None:
+            lines += [f"  {json.dumps(row.asDict(), default=str)}" for row in stats.limit(20).collect()]
+    return lines
+
+
 def funnel(documents: DataFrame, config: Config = Config(), key: str = "filename", text: str = "text") -> DataFrame:
     """(stage_no, stage, n_rows): how many rows pass each stage."""
     found = run(documents, config, key=key, text=text)
@@ -186,6 +197,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         error = str(e)[:500]
         found = e.run if isinstance(e, StageFailed) else found
         print(f"failed: {error[:300]}", file=sys.stderr)
+    print("\n".join(summary(found)))
     report = {"status": "failed" if error else "completed", "error": error, "total_seconds": round(time.time() - began, 3), "stages": found.report, "generated_at": time.strftime("%Y-%m-%dT%H:%M:%SZ", time.gmtime())}
     spark.createDataFrame([(json.dumps(report),)], "value string").coalesce(1).write.mode("overwrite").text(f"{a.output}/report")
     clear(spark)

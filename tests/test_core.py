@@ -204,6 +204,15 @@ def test_enrichment_edges(spark):
     assert [r["keywords"] for r in same] == [got[1]["keywords"]]
 
 
+def test_features_can_be_switched_off(spark):
+    rows = spark.createDataFrame([(1, "The bank lent money to Paris. It was a good loan. The bank said so.")], "id int, text string")
+    off = enrich.enrich(rows, features=enrich.Features(False, False, False, False, False)).first()
+    assert all(off[c] is None for c in ("keywords", "keyword_details", "entities", "entity_types", "entity_count", "summary", "potential_questions", "topics", "primary_topic", "topic_scores"))
+    assert off["structure"]["paragraph_count"] == 1 and off["enrichment_version"] == "1.0" and off["enrichment_timestamp"] is not None
+    some = enrich.enrich(rows, features=enrich.Features(keywords=False, keyword_methods=("frequency",))).first()
+    assert some["keywords"] is None and some["potential_questions"][0] == "What is bank?" and some["primary_topic"] == "finance"
+
+
 def test_files_in_every_format(spark, tmp_path):
     (tmp_path / "a.txt").write_bytes("Größe".encode())
     (tmp_path / "b.md").write_bytes("Größe".encode("cp1252"))
@@ -319,7 +328,8 @@ def test_pipeline_command_and_viewer(spark, tmp_path, capsys):
     assert spark.read.json(str(out / "dedup" / "groups")).first()["removed"] == ["b.txt"]
     assert spark.read.text(str(out / "chunk" / "readable")).filter("value LIKE '===%'").count() == spark.read.json(str(out / "chunk" / "rows")).count()
     assert viewer.main([str(out / "enrich" / "rows"), "--search-keyword", "museum"], spark) == 0
-    assert "d.html" in capsys.readouterr().out
+    shown = capsys.readouterr().out
+    assert "d.html" in shown and "dedup: completed" in shown and '"exact_duplicates": 1' in shown
 
 
 def test_failed_run_reports_its_stages(spark, tmp_path, monkeypatch):
