@@ -31,6 +31,7 @@ _KANA, _HAN, _THAI, _DEVA, _CYRL, _HANG = (regex.compile(rf"\p{{{s}}}") for s in
 _LATIN = regex.compile(r"\p{Latin}")
 _FOREIGN = re.compile("[\u0400-\u052f\u0900-\u097f\u0e00-\u0e7f\u1100-\u11ff\u3040-\u30ff\u3130-\u318f\u3400-\u9fff\uac00-\ud7af\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff]")
 _CJK, _OTHER = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}]"), regex.compile(r"[\p{Devanagari}\p{Cyrillic}\p{Hangul}]")
+_SCRIPTS = (_CJK, _THAI, _DEVA, _CYRL, _HANG, regex.compile(r"\p{Greek}"), regex.compile(r"\p{Arabic}"))
 _LIST_MARK = regex.compile(r"^[^\S\n]*(?:[-*•◦▪▫–|]|\d+[.)]\s)", regex.M)
 _SYMBOL = regex.compile(r"[^\p{L}\p{M}\p{N}\s]")
 
@@ -98,6 +99,8 @@ def _reads_like_sentence(span: str, words: list[str], ended: bool) -> bool:
         return False
     solid = len(span) - span.count(" ") - span.count("\n")
     if foreign:
+        if sum(x.search(span) is not None for x in _SCRIPTS) > 1:
+            return False  # scan noise takes its signs from everywhere
         if _CJK.search(span):
             return letters >= 0.35 * solid and (ended or (letters >= 5 and not _LIST_MARK.search(span) and _CJK_GRAMMAR.search(span) is not None))
         if letters >= 0.6 * solid:

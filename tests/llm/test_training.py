@@ -123,6 +123,11 @@ def test_prose_agrees_with_the_layout_labels(spark, data):
     assert sum(r["is_prose"] == (r["layout"] == "prose") for r in got) >= 0.95 * len(got)
 
 
+@pytest.mark.parametrize("noise", ["•~=<'М口 -« 一К> ='I:«, #Ｅ,`«iХ '- :+•«i. !", "Κ¤ ¤ノ一 ニ—iΙ° ¤В ＡＡ ニニК。", "*' § А>°: า ТノКΙ!"])
+def test_signs_of_many_scripts_are_no_sentence(noise):
+    assert quality.analyse(noise).share == 0 and quality.analyse("部屋の鍵はNo.4です。").share == 1 == quality.analyse("Наш дом стоит у реки.").share
+
+
 @pytest.mark.parametrize("text, prose", [("Die Kommission\nbezeichnete\ndie\nBetrachtung\nals\nunvorhergesehene\nBeeinträchtigung der\nVerantwortlichkeit.", True), ("coffee grinder\nbread knife\nsoup bowl\nfruit basket\nlunch menu\nThank you for your visit.", False), ("1 REGENJACKE 1.19\n1 TEEKANNE 2.40\n1 BROTKISTE 9.60\nund vielen Dank für den Besuch.", False)])
 def test_narrow_columns_are_prose_and_lists_are_not(text, prose):
     assert (quality.analyse(text).share > 0.5) == prose
