@@ -1,4 +1,4 @@
-"""Text kernel: Column functions that stay in the JVM. Lengths and positions count code points."""
+"""Text kernel: Column functions, all but the language built of Spark's own. Lengths and positions count code points."""
 
 from __future__ import annotations
 
