@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -67,7 +68,14 @@ class _Votes:
         self.facts, self.options, self.spark = facts, options, facts.sparkSession
         self.held = settle(self.masses(facts), "held")
         self.few = 0 < self.held.count() <= options.inline
-        self.table = settle(self.held.select("source", F.lit(1.0).alias("weight")), "weights")
+        self.mass = {r["source"]: r["mass"] for r in self.held.collect()} if self.few else {}  # at most ``inline`` rows
+        self.weights = dict.fromkeys(self.mass, 1.0)
+        self.many = None if self.few else settle(self.held.select("source", F.lit(1.0).alias("weight")), "weights")
+
+    @property
+    def table(self) -> DataFrame:
+        """(source, weight)."""
+        return self.spark.createDataFrame(sorted(self.weights.items()), "source string, weight double") if self.few else self.many
 
     @staticmethod
     def masses(stated: DataFrame) -> DataFrame:
@@ -76,27 +84,32 @@ class _Votes:
     def weighed(self) -> DataFrame:
         """The facts with their ``vote``."""
         if self.few:
-            weights = {r["source"]: r["weight"] for r in self.table.collect()}  # at most ``inline`` rows
-            own = F.create_map(*[x for s, w in sorted(weights.items()) for x in (F.lit(s), F.lit(w))])
+            own = F.create_map(*[x for s, w in sorted(self.weights.items()) for x in (F.lit(s), F.lit(w))])
             vote = F.aggregate(F.map_entries("stated"), F.lit(0.0), lambda total, e: total + e["value"] * own[e["key"]])
             return self.facts.withColumn("vote", F.round(vote, 9))
         place = ["__key", "field", "value"]
         single = self.facts.select(*place, F.explode("stated").alias("source", "mass"))
-        votes = single.join(self.table, "source").groupBy(*place).agg(F.round(F.sum(F.col("mass") * F.col("weight")), 9).alias("vote"))
+        votes = single.join(self.many, "source").groupBy(*place).agg(F.round(F.sum(F.col("mass") * F.col("weight")), 9).alias("vote"))
         return self.facts.join(votes, place)
 
     def winners(self) -> DataFrame:
         return self.weighed().groupBy("__key", "field").agg(F.max_by(F.struct("value", "stated", "vote"), F.struct("vote", "last", "value")).alias("w"), F.sum("vote").alias("all_votes"))
 
-    def round(self) -> float:
-        """New weights from what the present ones take as true; by how much the weights moved at most."""
+    def round(self) -> float | None:
+        """New weights from what the present ones take as true; by how much the weights moved at most, None without sources."""
         won = self.masses(self.winners().select(F.col("w.stated").alias("stated"))).withColumnRenamed("mass", "won")
         floor = self.options.floor
+        if self.few:
+            right = {r["source"]: r["won"] for r in won.collect()}  # at most ``inline`` rows
+            odds = {s: math.log1p((p := min(max(right.get(s, 0.0) / m, floor), 1 - floor)) / (1 - p)) for s, m in self.mass.items()}
+            mean = sum(odds.values()) / len(odds)
+            before, self.weights = self.weights, {s: o / mean for s, o in odds.items()}
+            return max(abs(self.weights[s] - before[s]) for s in before)
         right = F.least(F.greatest(F.coalesce("won", F.lit(0.0)) / F.col("mass"), F.lit(floor)), F.lit(1 - floor))
-        new = settle(self.held.join(won, "source", "left").select("source", F.log1p(right / (1 - right)).alias("odds")).join(self.table, "source"), "weights")
+        new = settle(self.held.join(won, "source", "left").select("source", F.log1p(right / (1 - right)).alias("odds")).join(self.many, "source"), "weights")
         mean = new.agg(F.avg("odds")).first()[0]
-        moved = new.agg(F.max(F.abs(F.col("odds") / mean - F.col("weight")))).first()[0]
-        self.table = new.select("source", (F.col("odds") / mean).alias("weight"))
+        moved = new.agg(F.max(F.abs(F.col("odds") / mean - F.col("weight")))).first()[0] if mean else None
+        self.many = new.select("source", (F.col("odds") / mean).alias("weight")) if mean else self.many
         return moved
 
 
