@@ -60,6 +60,7 @@ class Language:
     finals: set[str] = field(default_factory=set)
 
 
+@lru_cache(maxsize=1 << 17)
 def kind(token: str) -> str:
     """The type of a token: lower case, without opening marks, elided articles or a final stop; numbers are one type."""
     core = _LEAD.sub("", token)
@@ -112,7 +113,7 @@ def _count(text: str, counts: Counter) -> None:
     a stop by the next one's case, ``s`` types after another final mark, ``o`` letter case inside sentences, ``f``/``e`` endings before blanks and ends."""
     whole = None
     for _, block in _blocks(text):
-        tokens = _TOKEN.findall(block)
+        tokens = block.split()
         language = _language(block)
         if language == "und":
             whole = whole or _language(text)
