@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from curamill.functions.columns import fenced
-from curamill.functions.skew import join_unique
+from curamill.functions.skew import hot_keys, join_unique
 from curamill.llm.words import WordHasher, gram_hashes, mixed, words
 from curamill.operators.components import connected_components
 from curamill.session import settle
@@ -192,8 +192,9 @@ def near_duplicates(df: DataFrame, doc_id: str, text: str = "text", options: Ske
     sure = F.col("similarity") >= options.threshold + options.margin
     decided = near.filter(sure).select("a", "b", "similarity").unionByName(_decided(near.filter(~sure), classes, docs, options))
     named = settle(decided, "decided")
+    hot = {end: hot_keys(named, None, [end]) for end in ("a", "b")}
     for end in ("a", "b"):
-        named = join_unique(named, classes.select(F.col("c").alias(end), F.col("class_id").alias(f"class_{end}")), [end], "inner")
+        named = join_unique(named, classes.select(F.col("c").alias(end), F.col("class_id").alias(f"class_{end}")), [end], "inner", hot=hot[end])
     links = named.select(F.least("class_a", "class_b").alias("class_a"), F.greatest("class_a", "class_b").alias("class_b"), "similarity")
     members = join_unique(signed.select("id", "cls"), classes.select("cls", "class_id", "n"), ["cls"], "left", sizes="n").select("id", "class_id").distinct()
     return NearDuplicates(members, settle(links, "links"))
@@ -212,8 +213,9 @@ def _estimated(classes: DataFrame, options: Sketching) -> DataFrame:
     pairs = settle(pairs.distinct(), "pairs")
 
     side = classes.select("c", "size", "sketch")
+    hot = {end: hot_keys(pairs, None, [end]) for end in ("a", "b")}
     for end in ("a", "b"):
-        pairs = join_unique(pairs, side.select(F.col("c").alias(end), F.col("size").alias(f"size_{end}"), F.col("sketch").alias(f"sketch_{end}")), [end], "inner")
+        pairs = join_unique(pairs, side.select(F.col("c").alias(end), F.col("size").alias(f"size_{end}"), F.col("sketch").alias(f"sketch_{end}")), [end], "inner", hot=hot[end])
     pairs = pairs.filter(F.least("size_a", "size_b") >= options.threshold * F.greatest("size_a", "size_b"))
     pairs = pairs.select("a", "b", _differing("sketch_a", "sketch_b", options).alias("differing")).filter(F.col("differing") <= options.most_differing(options.threshold - options.margin))
     estimate = F.greatest(F.lit(0.0), 1 + F.lit(options.bits / (4 * options.samples)) * F.log1p(-2 * F.col("differing") / options.bits))
@@ -226,8 +228,9 @@ def _decided(doubtful: DataFrame, classes: DataFrame, docs: DataFrame, options:
     keys = settle(classes.select("c", "text_key").join(wanted, "c", "left_semi"), "keys")  # its size is known, so texts are only shuffled if they are many
     once = docs.select(F.md5("text").alias("text_key"), "text").join(keys, "text_key").groupBy("c").agg(F.any_value("text").alias("text"))
     texts = settle(once, "texts")
+    hot = {end: hot_keys(doubtful, None, [end]) for end in ("a", "b")}
     for end in ("a", "b"):
-        doubtful = join_unique(doubtful, texts.select(F.col("c").alias(end), F.col("text").alias(f"text_{end}")), [end], "inner")
+        doubtful = join_unique(doubtful, texts.select(F.col("c").alias(end), F.col("text").alias(f"text_{end}")), [end], "inner", hot=hot[end])
 
     @F.arrow_udf("double")
     def exact(x: pa.Array, y: pa.Array) -> pa.Array:
@@ -256,8 +259,9 @@ def expand(found: NearDuplicates, block: int = 4096) -> DataFrame:
 
     one = join_unique(members, sizes, ["class_id"], "inner", sizes="n").withColumn("part", F.pmod(F.xxhash64("id"), "blocks"))
     ends = found.links.select("class_a", "class_b")
-    for end, name in (("a", "x"), ("b", "y")):
-        ends = join_unique(ends, sizes.select(F.col("class_id").alias(f"class_{end}"), F.col("blocks").alias(f"blocks_{end}")), [f"class_{end}"], "inner").withColumn(f"part_{end}", every(f"blocks_{end}"))
+    hot = {end: hot_keys(ends, None, [f"class_{end}"]) for end in ("a", "b")}
+    for end in ("a", "b"):
+        ends = join_unique(ends, sizes.select(F.col("class_id").alias(f"class_{end}"), F.col("blocks").alias(f"blocks_{end}")), [f"class_{end}"], "inner", hot=hot[end]).withColumn(f"part_{end}", every(f"blocks_{end}"))
     for end, name in (("a", "x"), ("b", "y")):
         ends = ends.join(one.select(F.col("class_id").alias(f"class_{end}"), F.col("part").alias(f"part_{end}"), F.col("id").alias(name)), [f"class_{end}", f"part_{end}"])
     across = ends.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
