@@ -106,6 +106,14 @@ def test_junk_is_found_by_its_tails_among_natural_prose(spark, monkeypatch):
     assert all(r["is_prose"] for r in quality.score_quality(df).collect())
 
 
+def test_tails_decide_where_the_share_leaves_a_doubt(spark):
+    listed = ["\n".join(f"{i}) {w} / B-{i * k:05d}" for i in range(20)) for k, w in enumerate(("the key", "a lamp", "the tray", "two of soap"), 1)]
+    unfinished = "The waiter brought two plates to the table by the window. We carried the heavy boxes up the stairs and rested on the landing"
+    got = quality.score_quality(rows(spark, [*PROSE * 30, *listed * 30, unfinished])).orderBy("id").collect()
+    assert 0.4 < got[240]["sentence_share"] < 0.46
+    assert [r["is_prose"] for r in got] == [True] * 120 + [False] * 120 + [True]
+
+
 def test_tails_among_clear_rows_are_exact(spark):
     rng = random.Random(1)
     values = [("a", "x", float(rng.randint(1, 60)), rng.random() < 0.5) for _ in range(900)]
@@ -117,6 +125,15 @@ def test_tails_among_clear_rows_are_exact(spark):
         assert r["r_left"] == pytest.approx((sum(x <= v for x in clear) + 1) / (len(clear) + 1)) and r["r_right"] == pytest.approx((sum(x >= v for x in clear) + 1) / (len(clear) + 1))
 
 
+def test_tails_among_junk_rows_are_exact(spark):
+    rng = random.Random(2)
+    values = [("a", "x", float(rng.randint(1, 60)), rng.random() < 0.3) for _ in range(900)]
+    junk = [v for *_, v, d in values if d]
+    for r in quality.tail_probabilities(spark.createDataFrame(values, "stat string, language string, value double, junk boolean"), parts=5).collect():
+        assert r["j"] == len(junk) and r["r"] == 0
+        assert r["j_left"] == pytest.approx((sum(x <= r["value"] for x in junk) + 1) / (len(junk) + 1)) and r["j_right"] == pytest.approx((sum(x >= r["value"] for x in junk) + 1) / (len(junk) + 1))
+
+
 def test_prose_agrees_with_the_layout_labels(spark, data):
     docs = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "layout", "text")
     got = quality.score_quality(docs).select("layout", "is_prose").collect()
